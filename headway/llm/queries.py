@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import decontaminate, simhash
+from headway.llm import decontaminate, line_dedup, mixing, quality_rules, simhash
 from headway.llm.common import table
 
 
@@ -16,5 +16,17 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_winnowing, op4_simhash)}
+def op6_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_winnowing, op4_simhash, op6_schedule, op8_line_windows, op10_host_rules)}
 ORACLES: dict[str, str] = {}
