@@ -27,9 +27,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table with a broadcast hint if it has been counted and found small; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
+    """The table with a broadcast hint if it has been counted and found small; else as it is, for a shuffled join.
+
+    weight says how many rows a row of varying length counts as.
+    """
+    n = df.count() if weight is None else df.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(df) if n <= rows else df
 
 
 def let(value: Column, body) -> Column:

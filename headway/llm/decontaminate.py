@@ -94,5 +94,5 @@ def report(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame
 
 def clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     """docs without the rows that share a span with the benchmark."""
-    dirty = report(docs, benchmark, span).where("contaminated").select("doc_id").distinct()
+    dirty = small(cut(report(docs, benchmark, span).where("contaminated").select("doc_id").distinct()))
     return docs.join(dirty, docs["doc_id"].eqNullSafe(dirty["doc_id"]), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import let, text_key
+from headway.llm.common import cut, let, small, text_key
 
 LINES = 3
 BLANK = " \t\r\x0b\x0c"
@@ -51,7 +51,8 @@ def dedup(docs: DataFrame, n: int = LINES) -> DataFrame:
     """
     n_lines, n_removed = "n_lines", "n_removed"
     rows = docs.select(*[c for c in docs.columns if c not in (n_lines, n_removed)])
-    found = later(docs, n).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), F.col("at").alias("_at"))
+    found = cut(later(docs, n).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), F.col("at").alias("_at")))
+    found = small(found, weight=1 + F.size("_at") / 4)
     key = text_key(F.col("text"))
     joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_k")), "left")
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import cut, components
+from headway.llm.common import components, cut, small
 
 SEED = 42
 #: Shingles whose bits are counted at once, so that one long text needs bounded memory.
@@ -129,8 +129,14 @@ def near_duplicates(docs: DataFrame, n: int = 4, radius: int = 4, count: int = 3
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """docs with one row of each near-duplicate group: that of the smallest doc_id; rows without doc_id stay."""
-    found = near_duplicates(docs, **how)
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """docs with one row of each near-duplicate group: that of the smallest doc_id; rows without doc_id stay.
+
+    Rows with one doc_id are one document, of which one row stays. Texts are shuffled only for such rows, unless the
+    ids that go are too many to broadcast.
+    """
+    found = near_duplicates(docs, **how).where("doc_id is not null").groupBy("doc_id").agg(F.max("component_id").alias("top"), F.count("*").alias("n"))
+    found = cut(found.where("top < doc_id or n > 1").select("doc_id", (F.col("top") < F.col("doc_id")).alias("goes")))
+    gone, twice = small(found.where("goes").select("doc_id")), small(found.where("not goes").select("doc_id"))
+    kept = docs.join(gone, "doc_id", "left_anti")
+    once = kept.join(twice, "doc_id", "left_anti")
+    return once.unionByName(kept.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
