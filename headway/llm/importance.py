@@ -90,15 +90,17 @@ def model(docs: DataFrame, known: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(want[at])], ["bucket", "raw", "want"])
 
     rows = _with_labels(docs, known).select("text", (F.coalesce("good", F.lit(False)) & (F.col("fold") > 0)).alias("good"))
-    counts = rows.mapInArrow(count, "bucket long, raw long, want long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("want").alias("want")).toPandas()
-    raw, want = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
-    raw[counts.bucket], want[counts.bucket] = counts.raw, counts.want
-    if not want[BUCKETS]:
-        return np.zeros(BUCKETS)
-    part = want[BUCKETS] / raw[BUCKETS]
-    expected = raw[:BUCKETS] * part
-    chance = np.sqrt(expected * (1 - part)) * SIGNIFICANT
-    return np.where(expected - want[:BUCKETS] > chance, np.log((want[:BUCKETS] + PSEUDO) / (expected + PSEUDO)), 0.0)
+    counts = cut(rows.mapInArrow(count, "bucket long, raw long, want long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("want").alias("want")))
+    total = counts.where(F.col("bucket") == BUCKETS).first()
+    ratios = np.zeros(BUCKETS)
+    if total and total.want:
+        part = total.want / total.raw
+        expected = F.col("raw") * part
+        chance = F.sqrt(expected * (1 - part)) * SIGNIFICANT
+        clear = counts.where((F.col("bucket") < BUCKETS) & (expected - F.col("want") > chance))
+        for r in clear.select("bucket", F.log((F.col("want") + PSEUDO) / (expected + PSEUDO)).alias("ratio")).toLocalIterator():
+            ratios[r.bucket] = r.ratio
+    return ratios
 
 
 def log_weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
