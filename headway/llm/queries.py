@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import chat, decontaminate, html_text, importance, line_dedup, mixing, quality_rules, simhash
+from headway.llm import chat, decontaminate, html_text, importance, line_dedup, mixing, pii, quality_rules, simhash
 from headway.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op6_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
@@ -46,5 +50,5 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_importance, op2_winnowing, op3_main_text, op4_simhash, op6_schedule, op8_line_windows, op9_chat_format, op10_host_rules)}
+QUERIES = {f.__name__: f for f in (op1_importance, op2_winnowing, op3_main_text, op4_simhash, op6_schedule, op7_weak_supervision, op8_line_windows, op9_chat_format, op10_host_rules)}
 ORACLES: dict[str, str] = {}
