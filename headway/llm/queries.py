@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from headway.llm import chat, decontaminate, html_text, importance, line_dedup, mixing, pii, quality_rules, simhash
+from headway.llm import chat, decontaminate, html_text, importance, language_model, line_dedup, mixing, pii, quality_rules, simhash
 from headway.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(table(spark, sf_dir, "documents"))
+
+
 def op6_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -50,5 +54,5 @@ def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_importance, op2_winnowing, op3_main_text, op4_simhash, op6_schedule, op7_weak_supervision, op8_line_windows, op9_chat_format, op10_host_rules)}
+QUERIES = {f.__name__: f for f in (op1_importance, op2_winnowing, op3_main_text, op4_simhash, op5_ngram_trie, op6_schedule, op7_weak_supervision, op8_line_windows, op9_chat_format, op10_host_rules)}
 ORACLES: dict[str, str] = {}
