@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,7 +52,8 @@ class VersionedTable:
         meta = self.meta(version)
         if "folder" not in meta:
             raise ValueError(f"{self.path} has no version yet")
-        return self.spark.read.schema(meta["schema"]).parquet(*[f"{self.path}/{f}" for f in meta["folder"]])
+        reader = self.spark.read.schema(meta["schema"])  # folder by folder: each may have partitions of its own
+        return reduce(DataFrame.unionByName, [reader.parquet(f"{self.path}/{f}") for f in meta["folder"]])
 
     def _commit(self, folders: list[str], schema: str, extra: dict) -> int:
         new = 0 if self.version is None else self.version + 1
