@@ -16,9 +16,11 @@ from headway.llm.common import cut, small, text_key
 BUCKETS = 1 << 20
 #: At most so many labelled rows teach the models; which, a hash of their ids decides.
 LABELLED = 200_000
-#: Pseudo-documents in each bucket; standard deviations from which on a bucket's ratio counts; a lost good document
-#: costs so many bad ones kept; what weights are divided by before noise is added.
-PSEUDO, SIGNIFICANT, GOOD_COST, TEMPERATURE = 4.0, 3.0, 10.0, 0.25
+#: Standard deviations from which on a bucket's ratio counts: held-out labels choose one, as more text takes a stricter
+#: one. Pseudo-documents in each bucket; a lost good document costs so many bad ones kept; what weights are divided by
+#: before noise is added.
+SIGNIFICANT = (3.0, 4.0, 5.0)
+PSEUDO, GOOD_COST, TEMPERATURE = 4.0, 10.0, 0.25
 #: Steps per unit of a sampling key, and bins in which the k-th largest is looked for.
 STEP, BINS = 1 << 20, 4096
 
@@ -46,12 +48,10 @@ def ngrams(text: str | None) -> np.ndarray:
     return np.stack([one >> bits, (two >> bits) + np.uint64(BUCKETS // 2)]).astype(np.int64)
 
 
-def weigh(found: np.ndarray, ratios: np.ndarray) -> float:
-    """The sum of the n-grams' log ratios, each the one nearer to zero of its two buckets, as one may be shared."""
-    if not found.size:
-        return 0.0
-    a, b = ratios[found].astype(np.float64)
-    return float(np.maximum(a, b).sum())
+def weigh(found: np.ndarray, ratios: np.ndarray) -> list[float]:
+    """For each row of ratios, the sum of the n-grams' log ratios, each the one nearer to zero of its two buckets, as one
+    may be shared."""
+    return ratios[:, found].max(axis=1).sum(axis=1, dtype=np.float64).tolist()
 
 
 def labelled(labels: DataFrame, most: int = LABELLED) -> DataFrame:
@@ -68,7 +68,7 @@ def _with_labels(docs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def model(docs: DataFrame, known: DataFrame) -> np.ndarray:
-    """Log ratios by bucket of the wanted documents' model to all documents' model.
+    """Log ratios by bucket of the wanted documents' model to all documents' model, a row for each of SIGNIFICANT.
 
     Each bucket counts the documents that hold its n-grams: in the raw model all of them, in the target model the good
     labelled ones of folds 1-4. A pseudo-count pulls rare buckets to zero, and ratios that chance may explain are zero,
@@ -92,42 +92,46 @@ def model(docs: DataFrame, known: DataFrame) -> np.ndarray:
     rows = _with_labels(docs, known).select("text", (F.coalesce("good", F.lit(False)) & (F.col("fold") > 0)).alias("good"))
     counts = cut(rows.mapInArrow(count, "bucket long, raw long, want long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("want").alias("want")))
     total = counts.where(F.col("bucket") == BUCKETS).first()
-    ratios = np.zeros(BUCKETS)
+    ratios = np.zeros((len(SIGNIFICANT), BUCKETS), np.float32)
     if total and total.want:
         part = total.want / total.raw
         expected = F.col("raw") * part
-        chance = F.sqrt(expected * (1 - part)) * SIGNIFICANT
-        clear = counts.where((F.col("bucket") < BUCKETS) & (expected - F.col("want") > chance))
-        for r in clear.select("bucket", F.log((F.col("want") + PSEUDO) / (expected + PSEUDO)).alias("ratio")).toLocalIterator():
-            ratios[r.bucket] = r.ratio
+        away = (expected - F.col("want")) / F.sqrt(expected * (1 - part) + 1e-9)
+        clear = counts.where(F.col("bucket") < BUCKETS).select("bucket", away.alias("away"), F.log((F.col("want") + PSEUDO) / (expected + PSEUDO)).alias("ratio"))
+        for r in clear.where(F.col("away") > SIGNIFICANT[0]).toLocalIterator():
+            ratios[[k for k, z in enumerate(SIGNIFICANT) if r.away > z], r.bucket] = r.ratio
     return ratios
 
 
 def log_weights(docs: DataFrame, ratios: np.ndarray) -> DataFrame:
-    """(doc_id, _key, log_weight): the summed log ratios of each row's n-grams."""
-    sent = docs.sparkSession.sparkContext.broadcast(ratios.astype(np.float32))  # BUCKETS floats
+    """(doc_id, _key, log_weights): the summed log ratios of each row's n-grams, for each row of ratios."""
+    sent = docs.sparkSession.sparkContext.broadcast(ratios)  # a few times BUCKETS floats
 
     def run(batches):
-        r = sent.value
         for b in batches:
-            w = [weigh(ngrams(t), r) for t in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), pa.array(w, pa.float64())], ["doc_id", "_key", "log_weight"])
-
-    return docs.select("doc_id", text_key(F.col("text")).alias("_key"), "text").mapInArrow(run, "doc_id long, _key long, log_weight double")
-
-
-def least_good(weights: DataFrame, known: DataFrame) -> float:
-    """The log weight that best parts good from bad labelled rows of fold 0, which no model saw; -inf if none are bad."""
-    rows = weights.join(F.broadcast(known.where("fold = 0")), "doc_id").select("log_weight", "good").toPandas()  # bounded by LABELLED
-    bad = int((~rows.good.astype(bool)).sum())
-    if not bad:
-        return float("-inf")
-    rows = rows.groupby("log_weight").good.agg(["sum", "count"]).sort_index()
-    lost = np.concatenate([[0], rows["sum"].to_numpy().cumsum()]) / max(1, len(rows) and rows["sum"].sum()) * GOOD_COST
-    caught = np.concatenate([[0], (rows["count"] - rows["sum"]).to_numpy().cumsum()]) / bad
-    best = int(np.argmin(lost - caught))
-    at = rows.index.to_numpy()
-    return float("-inf") if not best else float(at[best - 1] + at[best]) / 2 if best < len(at) else float(at[-1]) + 1e-6
+            w = [weigh(ngrams(t), sent.value) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1), pa.array(w, pa.list_(pa.float64()))], ["doc_id", "_key", "log_weights"])
+
+    return docs.select("doc_id", text_key(F.col("text")).alias("_key"), "text").mapInArrow(run, "doc_id long, _key long, log_weights array<double>")
+
+
+def least_good(weights: DataFrame, known: DataFrame) -> tuple[int, float]:
+    """(which of the log weights, and the least good one): what best parts good from bad labelled rows of fold 0, which no
+    model saw; (0, -inf) if none of them are bad."""
+    rows = weights.join(F.broadcast(known.where("fold = 0")), "doc_id").select("log_weights", "good").toPandas()  # bounded by LABELLED
+    good = rows.good.to_numpy(dtype=bool)
+    if good.all():
+        return 0, float("-inf")
+    best = (0.0, 0, float("-inf"))
+    for k, w in enumerate(np.array(rows.log_weights.tolist()).T):
+        order = np.argsort(w, kind="stable")
+        x, g = w[order], good[order]
+        gain = np.cumsum(~g) / (~good).sum() - GOOD_COST * np.cumsum(g) / max(1, good.sum())
+        gain[:-1][x[1:] == x[:-1]] = -np.inf  # equal weights stay together
+        at = int(np.argmax(gain))
+        if gain[at] > best[0]:
+            best = (float(gain[at]), k, float(x[at] + x[at + 1]) / 2 if at + 1 < len(x) else float(x[at]) + 1e-6)
+    return best[1:]
 
 
 def gumbel(*key: str) -> Column:
@@ -162,10 +166,10 @@ def verdicts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     known = cut(labelled(labels))
     ratios = model(docs, known)
-    weights = log_weights(docs, ratios)
+    weights = cut(log_weights(docs, ratios))
+    which, bound = least_good(weights, known)
     noisy = F.col("log_weight") / TEMPERATURE + gumbel("doc_id", "_key")
-    scored = cut(weights.withColumn("sample_key", F.round(noisy * STEP).cast("long")))
-    bound = least_good(scored, known)
+    scored = weights.select("doc_id", "_key", F.get("log_weights", F.lit(which)).alias("log_weight")).withColumn("sample_key", F.round(noisy * STEP).cast("long"))
     k = scored.where(F.col("log_weight") >= bound).count()
     last = kth_largest(scored, "sample_key", k)
     kept = F.lit(False) if last is None else F.col("sample_key") >= last
