@@ -128,13 +128,13 @@ def near_duplicates(docs: DataFrame, n: int = 4, radius: int = 4, count: int = 3
     return fps.join(members, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """docs with one row of each near-duplicate group: that of the smallest doc_id; rows without doc_id stay.
+def keep_one(docs: DataFrame, find=near_duplicates, **how) -> DataFrame:
+    """docs with one row of each near-duplicate group of `find`: that of the smallest doc_id; rows without doc_id stay.
 
     Rows with one doc_id are one document, of which one row stays. Texts are shuffled only for such rows, unless the
     ids that go are too many to broadcast.
     """
-    found = near_duplicates(docs, **how).where("doc_id is not null").groupBy("doc_id").agg(F.max("component_id").alias("top"), F.count("*").alias("n"))
+    found = find(docs, **how).where("doc_id is not null").groupBy("doc_id").agg(F.max("component_id").alias("top"), F.count("*").alias("n"))
     found = cut(found.where("top < doc_id or n > 1").select("doc_id", (F.col("top") < F.col("doc_id")).alias("goes")))
     gone, twice = small(found.where("goes").select("doc_id")), small(found.where("not goes").select("doc_id"))
     kept = docs.join(gone, "doc_id", "left_anti")
