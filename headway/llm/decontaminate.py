@@ -54,7 +54,8 @@ def benchmark_spans(benchmark: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, places): a row for each row of docs; places are (start, span) of shared spans."""
+    """(doc_id, _key, n_words, n_hit, items, places): a row for each row of docs; places are (start, span) of shared spans,
+    and _key tells texts of one doc_id apart."""
     known = cut(benchmark_spans(benchmark, span))
     lengths = sorted(r[0] for r in known.select("span").distinct().collect())  # at most `span` numbers
     known = small(known)
@@ -78,7 +79,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
         lambda a, p: F.struct((a["n"] + F.greatest(F.lit(0), p["start"] + p["span"] - F.greatest(a["end"], p["start"]))).cast("long").alias("n"), F.greatest(a["end"], p["start"] + p["span"]).alias("end")),
         lambda a: a["n"],
     )
-    found = found.select("doc_id", "copies", "n_words", covered.alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("item_sets"))).alias("items"), "places")
+    found = found.select("doc_id", "_key", "copies", "n_words", covered.alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("item_sets"))).alias("items"), "places")
     return found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "_copy")
 
 
@@ -93,6 +94,7 @@ def report(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
-    """docs without the rows that share a span with the benchmark."""
-    dirty = small(cut(report(docs, benchmark, span).where("contaminated").select("doc_id").distinct()))
-    return docs.join(dirty, docs["doc_id"].eqNullSafe(dirty["doc_id"]), "left_anti")
+    """docs without the rows that share a span with the benchmark; others with their doc_id, or without one, stay."""
+    found = hits(docs, benchmark, span).where("n_hit > 0")
+    dirty = small(cut(found.select(F.col("doc_id").alias("_id"), "_key").distinct()))
+    return docs.join(dirty, (text_key(docs["text"]) == dirty["_key"]) & docs["doc_id"].eqNullSafe(dirty["_id"]), "left_anti")

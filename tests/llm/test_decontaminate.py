@@ -75,3 +75,9 @@ def test_clean_keeps_columns(spark):
     assert out.columns == docs.columns
     dirty = {r[0] for r in brute(rows, items) if r[-1]}
     assert {r.doc_id for r in out.collect()} == {r[0] for r in rows} - dirty
+
+
+def test_clean_rows_without_an_id_or_with_a_shared_one_stay(spark):
+    rows = [(None, "ab w3"), (None, "quite another text"), (5, "ab w3"), (5, "clean"), (6, None), (None, None)]
+    out = decontaminate.clean(docs_frame(spark, rows), spark.createDataFrame([(1, "ab w3")], "item_id long, text string"))
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(None, "quite another text"), (5, "clean"), (6, None), (None, None)], key=str)
