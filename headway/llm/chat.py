@@ -15,7 +15,7 @@ Turn = tuple[str, str]
 #: Renders a conversation's turns as one text. Spans are found from what it returns alone.
 Template = Callable[[list[Turn]], str]
 
-#: Turns before the one that is rendered, next to the first: what a template may depend on.
+#: Turns before the one that is rendered, next to the first, for a template whose attribute `context` says they suffice.
 CONTEXT = 8
 #: Stands for a text to find where it goes; the template must not change or drop it.
 PROBE = "probe"
@@ -35,6 +35,9 @@ def turns(conversation: list[Turn]) -> str:
     return "".join(f"<turn {escape(role)}>{escape(text)}</turn>\n" for role, text in conversation)
 
 
+turns.context = CONTEXT  # it depends on none
+
+
 TURN = re.compile(r"<turn ([^<>]*)>([^<>]*)</turn>\n")
 
 
@@ -54,12 +57,13 @@ def read_turns(formatted: str) -> list[Turn]:
 class Incremental:
     """Renders a conversation turn by turn and compares successive prefixes.
 
-    Of a long conversation only the first turn and the last few stay, so memory and time for a turn don't grow with it;
-    for a template that depends on no more than those, spans are as in a rendering of the whole.
+    All turns stay and each prefix is rendered whole, which takes a long conversation's memory, and time with its square.
+    Only where the template's attribute `context` declares that it depends on no more than the first turn and so many
+    last ones do those alone stay, so that memory and time for a turn don't grow.
     """
 
-    def __init__(self, template: Template, context: int = CONTEXT):
-        self.template, self.context = template, context
+    def __init__(self, template: Template, context: int | None = None):
+        self.template, self.context = template, getattr(template, "context", None) if context is None else context
         self.seen: list[Turn] = []
 
     def add(self, role: str, text: str) -> tuple[str, int, int, bool]:
@@ -77,7 +81,7 @@ class Incremental:
         tail = len(probed) - (start + at + len(PROBE))
         known = start >= 0 and after[:at] == probed[:at] and len(chunk) - tail >= start
         self.seen = [*self.seen, (role, text)]
-        if len(self.seen) > self.context + 1:
+        if self.context is not None and len(self.seen) > self.context + 1:
             self.seen = [self.seen[0], *self.seen[-self.context :]]
         return (chunk, start, len(chunk) - tail, rewrites) if known else (chunk, 0, 0, rewrites)
 
@@ -91,7 +95,7 @@ def format_turns(conversations: DataFrame, template: Template = turns, learn: st
     A conversation's chunks, joined, are its formatted text. Loss falls on chunk[start:end] where loss is true: the texts
     of role `learn`. rewrites is true from the turn on at which the template changed what it had rendered before, and no
     loss falls on such turns. A conversation's rows go to one partition, sorted on disk if need be, and are read one by
-    one: no conversation is held whole. Turns come by number, nulls first, and rows of one number by role and text; null
+    one: no conversation is held whole, unless the template declares no context. Turns come by number, nulls first, and rows of one number by role and text; null
     roles and texts are empty; rows without conv_id are one conversation; repeated rows are turns of their own; an empty
     table gives no rows.
     """

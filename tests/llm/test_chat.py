@@ -75,3 +75,32 @@ def test_spans_under_other_templates():
 
 def test_empty(spark):
     assert chat.digest(chat.format_turns(frame(spark, []))).collect() == []
+
+
+def test_long_conversations_are_rendered_whole():
+    def alternating(turns):
+        assert all(a[0] != b[0] for a, b in zip(turns, turns[1:]))
+        return "".join(f"({r}: {x})" for r, x in turns)
+
+    def numbering(turns):
+        return "".join(f"{i} {r}: {x}\n" for i, (r, x) in enumerate(turns))
+
+    def keeps_ten(turns):
+        return "".join(f"({r}: {x})" for r, x in turns[-10:])
+
+    said = [(("user", "assistant")[i % 2], f"text {i}") for i in range(16)]
+    for template, first_rewrite in ((alternating, 16), (numbering, 16), (keeps_ten, 10)):
+        inc = chat.Incremental(template)
+        found = [inc.add(*t) for t in said]
+        assert [f[3] for f in found] == [i >= first_rewrite for i in range(16)]
+        assert all(c[a:b] == x for (c, a, b, rewrites), (_, x) in zip(found, said) if not rewrites)
+        if first_rewrite == 16:
+            assert "".join(f[0] for f in found) == template(said)
+
+
+def test_only_a_declared_context_bounds_what_stays():
+    for template, kept in ((chat.turns, chat.CONTEXT + 1), (lambda turns: chat.turns(turns), 30)):
+        inc = chat.Incremental(template)
+        for i in range(30):
+            inc.add("user", str(i))
+        assert len(inc.seen) == kept
