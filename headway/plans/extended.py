@@ -172,7 +172,7 @@ MODEL = ["horizon_s", "hour", "dow", "stop_sequence_f"]
 
 def _scored(spark, d):
     train, test = eta.temporal_split(_features(spark, d))
-    model = eta.train_model(train, MODEL, iterations=10, depth=3)
+    model = eta.train_model(train, MODEL)
     return eta.predict(model, eta.baselines(train, test), MODEL)
 
 
