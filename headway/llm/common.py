@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside drop the files of their exchanges as they end: for plans that end in cut, of which nothing is
+    read again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
     """The table with a broadcast hint if it has been counted and found small; else as it is, for a shuffled join.
 
