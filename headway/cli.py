@@ -16,21 +16,19 @@ FEEDS = ("trip_updates", "vehicle_positions")
 
 
 def bronze(spark, a) -> dict:
-    """New payloads, decoded, into bronze; files that the ledger names are left out, and rows and ledger are one version."""
-    table, bad = VersionedTable(spark, f"{a.lake}/bronze/{a.feed}"), VersionedTable(spark, f"{a.lake}/quarantine/{a.feed}")
+    """New payloads, decoded, into bronze; files that the ledger names are left out."""
+    table = VersionedTable(spark, f"{a.lake}/bronze/{a.feed}")
     files = feed.scan(spark, a.data, a.feed)
-    if table.version is not None:
-        files = files.join(table.read().select("source_path").distinct().withColumnRenamed("source_path", "path"), "path", "left_anti")
     if a.limit:
+        done = table.side("ledger")
+        files = files if done is None else files.join(done.select("path"), "path", "left_anti")
         files = files.orderBy("path").limit(a.limit)
-    good, broken = feed.split(feed.decoded(files, a.feed, a.interval).persist())
-    if not broken.isEmpty():
-        bad.append(broken)
-    return {"version": table.append(good), "rows": table.read().count()}
+    jobs.ingest(files, a.feed, table, a.interval)
+    return {"version": table.version, "rows": table.read().count(), "quarantined": table.side("quarantine").count()}
 
 
 def bronze_stream(spark, a) -> dict:
-    return jobs.bronze(spark, a.data, a.feed, VersionedTable(spark, f"{a.lake}/bronze/{a.feed}"), VersionedTable(spark, f"{a.lake}/quarantine/{a.feed}"), a.interval)
+    return jobs.bronze(spark, a.data, a.feed, VersionedTable(spark, f"{a.lake}/bronze/{a.feed}"), a.interval)
 
 
 def silver(spark, a) -> dict:

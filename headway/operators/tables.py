@@ -49,15 +49,39 @@ class VersionedTable:
         return logs[-1] if logs else None
 
     def read(self, version: int | None = None) -> DataFrame:
+        """A version's rows. Folders written with one layout are one scan; partitions that a later write replaced are left out."""
         meta = self.meta(version)
-        if "folder" not in meta:
+        if "data" not in meta:
             raise ValueError(f"{self.path} has no version yet")
-        reader = self.spark.read.schema(meta["schema"])  # folder by folder: each may have partitions of its own
-        return reduce(DataFrame.unionByName, [reader.parquet(f"{self.path}/{f}") for f in meta["folder"]])
-
-    def _commit(self, folders: list[str], schema: str, extra: dict) -> int:
+        return self._scan(meta["data"], meta["schema"])
+
+    def _scan(self, data: list[dict], schema: str) -> DataFrame:
+        groups: dict[str, list[dict]] = {}
+        for d in data:
+            groups.setdefault(json.dumps([d["by"], d["without"]]), []).append(d)
+        parts = []
+        for same in groups.values():
+            df = self.spark.read.schema(schema).option("basePath", self.path).parquet(*[f"{self.path}/{d['folder']}" for d in same])
+            for column, values in same[0]["without"].items():
+                listed = F.col(column).cast("string").isin([v for v in values if v is not None])
+                df = df.where(~F.coalesce(listed, F.lit(False)) & (F.col(column).isNotNull() if None in values else F.lit(True)))
+            parts.append(df.drop("part"))
+        return reduce(DataFrame.unionByName, parts)
+
+    def side(self, name: str) -> DataFrame | None:
+        """A side table that was committed with this one; None before the first such write."""
+        found = self.meta().get("side", {}).get(name)
+        return self._scan(found["data"], found["schema"]) if found else None
+
+    def _commit(self, data: list[dict], schema: str, extra: dict, side: dict[str, DataFrame] | None = None) -> int:
+        before = self.meta()
+        sides = dict(before.get("side", {}))
+        for name, df in (side or {}).items():
+            old = sides.get(name, {"data": []})["data"]
+            sides[name] = {"data": [*old, self._write(df, [])], "schema": _ddl(df)}
         new = 0 if self.version is None else self.version + 1
-        body = json.dumps({"version": new, "folder": folders, "schema": schema, "written_at": time.time(), "retention_days": RETENTION_DAYS} | extra)
+        carried = {k: before[k] for k in ("batch",) if k in before}
+        body = json.dumps({"version": new, "data": data, "schema": schema, "side": sides, "written_at": time.time(), "retention_days": RETENTION_DAYS} | carried | extra)
         fs, p = self._fs(f"{self.path}/_log/{new}.json")
         out = fs.create(p, False)  # fails if another writer was first
         try:
@@ -66,38 +90,51 @@ class VersionedTable:
             out.close()
         return new
 
-    def _write(self, df: DataFrame, partition_by: list[str]) -> tuple[str, str]:
-        folder = f"data-{uuid.uuid4().hex[:12]}"
+    def _write(self, df: DataFrame, partition_by: list[str]) -> dict:
+        folder = f"part=w{uuid.uuid4().hex[:12]}"
         (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{self.path}/{folder}")
-        return folder, df.schema.json()
+        return {"folder": folder, "by": list(partition_by), "without": {}}
 
-    def overwrite(self, df: DataFrame, partition_by: list[str] = (), **extra) -> int:
-        folder, _ = self._write(df, list(partition_by))
-        return self._commit([folder], _ddl(df), extra)
+    def overwrite(self, df: DataFrame, partition_by: list[str] = (), side: dict[str, DataFrame] | None = None, **extra) -> int:
+        return self._commit([self._write(df, list(partition_by))], _ddl(df), extra, side)
 
-    def append(self, df: DataFrame, partition_by: list[str] = (), **extra) -> int:
+    def append(self, df: DataFrame, partition_by: list[str] = (), side: dict[str, DataFrame] | None = None, **extra) -> int:
+        """Adds rows, and rows of side tables in the same commit: all are there, or none."""
         if self.version is not None and _ddl(df) != self.meta()["schema"]:
             raise ValueError(f"the schema differs: {_ddl(df)} and {self.meta()['schema']}")
-        folder, _ = self._write(df, list(partition_by))
-        before = self.meta().get("folder", [])
-        return self._commit([*before, folder], _ddl(df), extra)
+        return self._commit([*self.meta().get("data", []), self._write(df, list(partition_by))], _ddl(df), extra, side)
+
+    def replace_partitions(self, df: DataFrame, column: str, values: list, **extra) -> int:
+        """The rows whose `column` is one of the values give way to df; other partitions are not read or written."""
+        if self.version is None:
+            return self.overwrite(df, [column], **extra)
+        listed = [None if v is None else str(v) for v in values]
+        old = [d | {"without": d["without"] | {column: sorted({*d["without"].get(column, []), *listed}, key=str)}} for d in self.meta()["data"]]
+        return self._commit([*old, self._write(df.select(self.read().columns), [column])], self.meta()["schema"], extra)
+
+    def compact(self, partition_by: list[str] = (), above: int = 0) -> int:
+        """One folder in place of many, if there are more than `above`."""
+        return self.overwrite(self.read(), partition_by) if len(self.meta()["data"]) > above else self.version
 
     def bootstrap(self, schema: str) -> int:
         return self.overwrite(self.spark.createDataFrame([], schema)) if self.version is None else self.version
 
+    def _folders(self, version: int) -> set[str]:
+        meta = self.meta(version)
+        return {d["folder"] for part in [meta["data"], *(s["data"] for s in meta["side"].values())] for d in part}
+
     def vacuum(self, now: float | None = None) -> list[str]:
         """Deletes versions beyond the retention and the folders that no version is left to name; the current one stays."""
         now = now or time.time()
         keep = [v for v in self._logs() if v == self.version or now - self.meta(v)["written_at"] <= self.meta(v)["retention_days"] * 86400]
-        named = {f for v in keep for f in self.meta(v)["folder"]}
+        named = {f for v in keep for f in self._folders(v)}
         gone = []
         for v in self._logs():
             if v not in keep:
-                for f in self.meta(v)["folder"]:
-                    if f not in named and f not in gone:
-                        fs, p = self._fs(f"{self.path}/{f}")
-                        fs.delete(p, True)
-                        gone.append(f)
+                for f in sorted(self._folders(v) - named - set(gone)):
+                    fs, p = self._fs(f"{self.path}/{f}")
+                    fs.delete(p, True)
+                    gone.append(f)
                 fs, p = self._fs(f"{self.path}/_log/{v}.json")
                 fs.delete(p, False)
         return gone
@@ -137,3 +174,19 @@ def merge_counts(target: DataFrame, source: DataFrame, keys: list[str], order: s
 def unprocessed(files: DataFrame, ledger: DataFrame, key: str = "path") -> DataFrame:
     """Files that the ledger doesn't name."""
     return files.join(ledger.select(key).distinct(), key, "left_anti")
+
+
+def merge_by_partition(table: VersionedTable, new: DataFrame, keys: list[str], order: str, column: str, ties: tuple[str, ...] = (), refresh: tuple[str, ...] = (), most: int = 64, **extra) -> int:
+    """merge_earliest into a table, of which only the partitions (of `column`, one of the keys) that new rows touch are
+    read and written. Beyond `most` folders the table is compacted."""
+    new = new.persist()
+    try:
+        values = [r[0] for r in new.select(column).distinct().collect()]  # as many as partitions are touched
+        if table.version is None:
+            return table.overwrite(merge_earliest(new.limit(0), new, keys, order, ties, refresh), [column], **extra)
+        listed = F.col(column).isin([v for v in values if v is not None])
+        old = table.read().where(F.coalesce(listed, F.lit(False)) | (F.col(column).isNull() if None in values else F.lit(False)))
+        table.replace_partitions(merge_earliest(old, new.select(old.columns), keys, order, ties, refresh), column, values, **extra)
+        return table.compact([column], most)
+    finally:
+        new.unpersist()

@@ -210,27 +210,27 @@ def r2_resolver_status(spark, d):
     return arrivals.read()
 
 
-@query("select distinct p.service_date, p.trip_id, p.stop_sequence, issued, predicted, s.report_epoch as actual, predicted - s.report_epoch as error_s from predictions p join stopped s using (service_date, trip_id, stop_sequence) where issued < s.report_epoch and s.report_epoch <= issued + 86400", "predictions", "stopped")
+@query("select p.service_date, p.trip_id, p.stop_sequence, issued, predicted, s.report_epoch as actual, predicted - s.report_epoch as error_s from (select *, report_epoch as issued, report_epoch + cast(floor(value * 60) as bigint) as predicted from positions where current_status in ('IN_TRANSIT_TO', 'INCOMING_AT') and stop_sequence is not null) p join stopped s using (service_date, trip_id, stop_sequence) where issued < s.report_epoch and s.report_epoch <= issued + 86400", "stopped")
 def r4_stream_join(spark, d):
     p = _stream(spark, d).where("current_status in ('IN_TRANSIT_TO', 'INCOMING_AT') and stop_sequence is not null")
     p = p.select(*GRAIN_COLUMNS, F.col("report_epoch").alias("issued"), (F.col("report_epoch") + F.floor(F.col("value") * 60).cast("long")).alias("predicted"))
     a = _stream(spark, d).where("current_status = 'STOPPED_AT' and stop_sequence is not null").withColumnRenamed("report_epoch", "actual")
-    return jobs.collected(jobs.score(p, a)).distinct()
+    return jobs.collected(jobs.score(p, a))
 
 
 @query("select distinct service_date, trip_id, stop_sequence from stopped", "stopped")
 def r5_stream_dedup(spark, d):
-    return jobs.collected(jobs.once(_stream(spark, d).where("current_status = 'STOPPED_AT' and stop_sequence is not null")).select(*GRAIN_COLUMNS)).distinct()
+    return jobs.collected(jobs.once(_stream(spark, d).where("current_status = 'STOPPED_AT' and stop_sequence is not null")).select(*GRAIN_COLUMNS))
 
 
 @query("select split_part(trip_id, ':', 1) as agency, report_epoch // 86400 * 86400 as start_epoch, count(*) as n from positions group by all", "positions")
 def r11_tumbling(spark, d):
-    return jobs.collected(jobs.tumbling(_stream(spark, d)), "complete")
+    return jobs.collected(jobs.tumbling(_stream(spark, d)), "update", ("agency", "start_epoch"))
 
 
 @query("select split_part(trip_id, ':', 1) as agency, (report_epoch // 43200 - k) * 43200 as start_epoch, count(*) as n from positions, (values (0), (1)) t(k) group by all", "positions")
 def r12_sliding(spark, d):
-    return jobs.collected(jobs.sliding(_stream(spark, d), "24 hours", "12 hours"), "complete")
+    return jobs.collected(jobs.sliding(_stream(spark, d), "24 hours", "12 hours"), "update", ("agency", "start_epoch"))
 
 
 @query("""select trip_id, min(report_epoch) as start_epoch, count(*) as n from (select *, sum(s) over (partition by trip_id order by report_epoch, entity_id rows unbounded preceding) as run from

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from headway.constants import GRAIN
 from headway.operators.positions import first_sightings, resolvable
-from headway.operators.tables import VersionedTable, merge_earliest
+from headway.operators.tables import VersionedTable, merge_by_partition
 from headway.sources import feed
 
 #: How late an event may come.
@@ -35,23 +35,28 @@ def files_of(spark: SparkSession, path: str) -> DataFrame:
     return reader.parquet(path)
 
 
-def drain(df: DataFrame, batch: Callable[[DataFrame, int], None], mode: str = "append", **conf: str) -> dict:
-    """Runs the stream over all there is and stops; batches and rows that it read."""
+def drain(df: DataFrame, batch: Callable[[DataFrame, int], None], mode: str = "append", checkpoint: str | None = None, **conf: str) -> dict:
+    """Runs the stream over all there is and stops; batches, rows and the rows a second that it read.
+
+    With a checkpoint that stays, the next run goes on where this one stopped, and its batches' numbers go on too; files
+    are marked as done after their batch is.
+    """
     spark = df.sparkSession
     before = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        q = df.writeStream.outputMode(mode).option("checkpointLocation", shared(spark, "checkpoint")).trigger(availableNow=True).foreachBatch(batch).start()
+        q = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint or shared(spark, "checkpoint")).trigger(availableNow=True).foreachBatch(batch).start()
         q.awaitTermination()
-        return {"batches": len(q.recentProgress), "rows": sum(p["numInputRows"] for p in q.recentProgress)}
+        done = {p["batchId"]: p for p in q.recentProgress if p["numInputRows"]}
+        return {"batches": len(done), "rows": sum(p["numInputRows"] for p in done.values()), "seconds": sum(p["batchDuration"] for p in done.values()) / 1000}
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def collected(df: DataFrame, mode: str = "append", **conf: str) -> DataFrame:
-    """The stream's whole output as a table. Each batch writes a folder of its own by number, so a batch that runs again
+def collected(df: DataFrame, mode: str = "append", keys: tuple[str, ...] = (), **conf: str) -> DataFrame:
+    """The stream's whole output as a table; of an updated one, the last row of each of `keys`. Each batch writes a folder of its own by number, so a batch that runs again
     replaces what it had written; of a complete output the last batch counts."""
     spark, path, last = df.sparkSession, shared(df.sparkSession, "out"), []
 
@@ -59,11 +64,15 @@ def collected(df: DataFrame, mode: str = "append", **conf: str) -> DataFrame:
         rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
         last.append(number)
 
-    drain(df, write, mode, **conf)
+    drain(df, write, mode, None, **conf)
     if not last:
         return spark.createDataFrame([], df.schema)
     if mode == "complete":
         return spark.read.schema(df.schema).parquet(f"{path}/batch={last[-1]}")
+    if mode == "update":  # the last row of each key counts
+        rows = spark.read.option("basePath", path).parquet(*[f"{path}/batch={n}" for n in sorted(set(last))])
+        w = Window.partitionBy(*keys).orderBy(F.col("batch").desc())
+        return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(df.columns)
     return spark.read.schema(df.schema).parquet(*[f"{path}/batch={n}" for n in sorted(set(last))])
 
 
@@ -74,46 +83,59 @@ def with_event_time(positions: DataFrame, lateness: str = LATENESS) -> DataFrame
 # Bronze
 
 
-def bronze(spark: SparkSession, root: str, feed_type: str, table: VersionedTable, quarantine: VersionedTable, poll_interval_s: int = 120) -> dict:
-    """Decodes new payloads into the table. A batch's number is written with its rows, and a batch that the table has is
-    not written twice: the checkpoint alone would repeat one that failed between the write and its own commit."""
+def ingest(files: DataFrame, feed_type: str, table: VersionedTable, poll_interval_s: int = 120, **extra) -> None:
+    """Decodes the payloads that the table's ledger doesn't name. Rows, quarantine and ledger are one commit, and the
+    ledger has every path, with good rows or not: no file is decoded twice and none is quarantined twice."""
+    ledger = table.side("ledger")
+    if ledger is not None:
+        files = files.join(ledger.select("path"), "path", "left_anti").select(files.columns)
+    rows = feed.decoded(files, feed_type, poll_interval_s).persist()
+    try:
+        good, bad = feed.split(rows)
+        seen = files.select("path", "poll_epoch", F.current_timestamp().alias("seen_at"))
+        table.append(good.withColumn("bronze_loaded_at", F.current_timestamp()), side={"quarantine": bad, "ledger": seen}, **extra)
+    finally:
+        rows.unpersist()
+
+
+def bronze(spark: SparkSession, root: str, feed_type: str, table: VersionedTable, poll_interval_s: int = 120, max_files: int = 200) -> dict:
+    """New payloads into the table, batch by batch. The checkpoint lies with the table, so a further run takes new files
+    alone; a batch's number is committed with its rows, so one that failed before its own commit isn't written twice."""
 
     def write(files: DataFrame, number: int) -> None:
-        if files.isEmpty() or (table.version is not None and number <= table.meta().get("batch", -1)):
-            return
-        good, bad = feed.split(feed.decoded(files, feed_type, poll_interval_s).persist())
-        if not bad.isEmpty():
-            quarantine.append(bad, batch=number)
-        table.append(good.withColumn("bronze_loaded_at", F.current_timestamp()), batch=number)
+        files = files.persist()
+        try:
+            if not files.isEmpty() and number > table.meta().get("batch", -1):
+                ingest(files, feed_type, table, poll_interval_s, batch=number)
+        finally:
+            files.unpersist()
 
-    return drain(feed.scan_stream(spark, root, feed_type), write)
+    return drain(feed.scan_stream(spark, root, feed_type, max_files), write, "append", f"{table.path}/_checkpoint")
 
 
 # Arrivals
 
 
-def resolve(positions: DataFrame, table: VersionedTable) -> dict:
-    """First sightings of each grain, merged batch by batch: a late but earlier sighting corrects, order doesn't matter."""
+def resolve(positions: DataFrame, table: VersionedTable, checkpoint: str | None = None) -> dict:
+    """First sightings of each grain, merged batch by batch: a late but earlier sighting corrects, order doesn't matter.
+    A batch reads and writes the service dates that it touches."""
 
     def write(rows: DataFrame, number: int) -> None:
         new = first_sightings(rows.where(resolvable())).select(*GRAIN, "entity_id", "report_epoch", "last_stopped")
-        if table.version is None:
-            table.overwrite(new, batch=number)
-        else:
-            table.overwrite(merge_earliest(table.read(), new, list(GRAIN), "report_epoch", ("entity_id",), ("last_stopped",)), batch=number)
+        merge_by_partition(table, new, list(GRAIN), "report_epoch", "service_date", ("entity_id",), ("last_stopped",))
 
-    return drain(positions, write)
+    return drain(positions, write, "append", checkpoint)
 
 
 TRIP_DAY = ["service_date", "trip_id"]
 
 
-def resolve_with_status(positions: DataFrame, arrivals: VersionedTable, state: VersionedTable) -> dict:
+def resolve_with_status(positions: DataFrame, arrivals: VersionedTable, state: VersionedTable, idle_s: int = 3 * 86400) -> dict:
     """Arrivals in the order of delivery, each with its trip's status before.
 
     The state, each trip day's last status, is a table of its own version by version, as are the arrivals: a batch reads
-    both, takes the first stop at each sequence that isn't there yet, and writes both. Rows without a service date are a
-    day of their own.
+    both, takes the first stop at each sequence that isn't there yet, and writes both. Trip days that have been silent for
+    `idle_s` before the batch's first report are forgotten. Rows without a service date are a day of their own.
     """
 
     def write(rows: DataFrame, number: int) -> None:
@@ -130,7 +152,9 @@ def resolve_with_status(positions: DataFrame, arrivals: VersionedTable, state: V
         if arrivals.version is not None:
             new = new.join(arrivals.read().select(*GRAIN), list(GRAIN), "left_anti")
         arrivals.append(new, batch=number)
-        state.overwrite(newest.unionByName(known.join(newest, TRIP_DAY, "left_anti")), batch=number)
+        first = F.broadcast(rows.agg(F.min("report_epoch").alias("_first")))  # one row
+        still = known.join(newest, TRIP_DAY, "left_anti").join(first).where(F.col("last.report_epoch") >= F.col("_first") - idle_s)
+        state.overwrite(newest.unionByName(still.select(newest.columns)), batch=number)
 
     return drain(positions, write)
 

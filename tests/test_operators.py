@@ -9,7 +9,7 @@ from headway.constants import GRAIN
 from headway.functions import expressions as X
 from headway.ml import eta
 from headway.operators import accuracy, schedule as S
-from headway.operators.tables import VersionedTable, merge_earliest
+from headway.operators.tables import VersionedTable, merge_by_partition, merge_earliest
 from headway.quality import contracts, expectations
 from headway.serving.store import Store, export
 from headway.sources import static, views as V
@@ -60,6 +60,20 @@ def test_versioned_table(spark, tmp_path):
     assert t.vacuum(now=4e9) and t.version == 3 and t.read().count() == 1
 
 
+def test_partitions_are_replaced_alone(spark, tmp_path):
+    f = lambda rows: spark.createDataFrame(rows, "d string, k int, t long")
+    t = VersionedTable(spark, str(tmp_path / "p"))
+    merge = lambda rows, **how: merge_by_partition(t, f(rows), ["d", "k"], "t", "d", **how)
+    merge([("a", 1, 5), ("b", 1, 5), (None, 1, 5)])
+    merge([("a", 1, 3), ("a", 2, 9)])
+    merge([("a", 1, 4), ("c", 1, 1), (None, 1, 2)])
+    want = [(None, 1, 2), ("a", 1, 3), ("a", 2, 9), ("b", 1, 5), ("c", 1, 1)]
+    assert sorted((tuple(r) for r in t.read().select("d", "k", "t").collect()), key=str) == sorted(want, key=str)
+    assert len(t.meta()["data"]) == 3 and t.read(0).count() == 3
+    merge([("b", 1, 9)], most=2)
+    assert len(t.meta()["data"]) == 1 and t.read().count() == 5
+
+
 KEY = ["k"]
 
 
