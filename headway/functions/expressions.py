@@ -25,9 +25,9 @@ def scheduled_epoch(service_date: Column, gtfs_time: Column, tz: str = AGENCY_TZ
     return service_day_start(service_date, tz) + gtfs_seconds(gtfs_time)
 
 
-def agency_of(*ids: Column) -> Column:
-    """What stands before the colon of the first id that has one, else UNKNOWN."""
-    return F.coalesce(*[F.when(x.contains(":"), F.substring_index(x, ":", 1)) for x in ids], F.lit("UNKNOWN"))
+def agency_of(*ids: Column, otherwise: str = "UNKNOWN") -> Column:
+    """What stands before the colon of the first id that has one, else `otherwise`: ALL in profiles of a feed."""
+    return F.coalesce(*[F.when(x.contains(":"), F.substring_index(x, ":", 1)) for x in ids], F.lit(otherwise))
 
 
 def on_time(delay_s: Column) -> Column:
@@ -85,8 +85,3 @@ def redact(text: Column, secret: str | None = None) -> Column:
     if secret and len(secret) >= 8:
         text = F.replace(text, F.lit(secret), F.lit("***"))
     return F.regexp_replace(text, r"""(api_key=)[^&\s"')]+""", "$1***")
-
-
-def nearest_rank_low(values: Column, q: float, n: Column) -> Column:
-    """The sorted array's member at floor(q * (n - 1))."""
-    return F.get(F.array_sort(values), F.floor(F.lit(q) * (n - 1)).cast("int"))

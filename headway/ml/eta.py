@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.constants import AGENCY_TZ, GRAIN, HORIZON_MAX_S
@@ -84,3 +85,38 @@ def correct(df: DataFrame, gate: bool) -> DataFrame:
     answer, or the horizon is out of range; source says which."""
     ok = F.lit(gate) & F.col("residual_hat").isNotNull() & F.col("horizon_s").between(1, HORIZON_MAX_S)
     return df.withColumns({"corrected": F.when(ok, F.col("predicted") + F.round("residual_hat").cast("long")).otherwise(F.col("predicted")), "source": F.when(ok, "model").otherwise("agency")})
+
+
+def baseline_gate(scored: DataFrame) -> bool:
+    """Whether the model's mean error is below each baseline's."""
+    error = lambda c: F.avg(F.abs(F.col("residual_s") - F.col(c)))
+    mae = scored.agg(error("residual_hat").alias("model"), *[error(b).alias(b) for b in BASELINES]).first()
+    return mae.model is not None and mae.model < min(mae[b] for b in BASELINES)
+
+
+BASELINES = ("by_agency", "by_mean", "by_bucket")
+
+
+def save(model: PipelineModel, gate: bool, columns: list[str], path: str) -> None:
+    """The model with its gate and features, as one artefact."""
+    spark = SparkSession.getActiveSession()
+    model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(gate, list(columns))], "gate boolean, columns array<string>").coalesce(1).write.mode("overwrite").json(f"{path}/gate")
+
+
+def load(path: str) -> tuple[PipelineModel | None, bool, list[str]]:
+    """What save wrote; (None, False, []) if there is no artefact."""
+    spark = SparkSession.getActiveSession()
+    try:
+        row = spark.read.schema("gate boolean, columns array<string>").json(f"{path}/gate").first()
+        return PipelineModel.load(f"{path}/model"), row.gate, row.columns
+    except AnalysisException:
+        return None, False, []
+
+
+def serve(df: DataFrame, path: str) -> DataFrame:
+    """df corrected by the artefact at path; unchanged where there is none, or its gate is shut."""
+    model, gate, columns = load(path)
+    if model is None:
+        return correct(df.withColumn("residual_hat", F.lit(None).cast("double")), False)
+    return correct(predict(model, df, columns), gate)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.constants import EARLY_S, FLOOR_AGENCY, FLOOR_ROUTE_HOUR, FLOOR_WORST, GRAIN, LATE_S
-from headway.functions.expressions import lead_bucket, lead_order, nearest_rank_low, on_time
+from headway.functions.expressions import lead_bucket, lead_order, on_time
 
 
 def usable_predictions(df: DataFrame) -> DataFrame:
@@ -37,19 +37,42 @@ def hindsight(predictions: DataFrame, arrivals: DataFrame, grain: tuple[str, ...
     return j.agg(F.count("issued").alias("n_pairs"), F.count_if(F.col("issued") < F.col("actual")).alias("n_scored"), F.count_if(F.col("issued") >= F.col("actual")).alias("n_hindsight"), F.count_if(F.col("issued").isNull()).alias("n_unmatched_arrivals"))
 
 
+def by_value(df: DataFrame, by: list[str], value: Column) -> DataFrame:
+    """(by, v, n, upto, total): how often each value occurs in its group, running and in all. Whole seconds have few
+    values, so what follows the first, combining aggregate is small however many rows there are."""
+    counts = df.select(*by, value.alias("v")).where("v is not null").groupBy(*by, "v").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(*by)
+    return counts.withColumns({"upto": F.sum("n").over(w.orderBy("v")), "total": F.sum("n").over(w)})
+
+
+def at_rank(rank: Column) -> Column:
+    """Aggregates rows of by_value: the value at a rank from 0 in the sorted group."""
+    return F.min(F.when(F.col("upto") > rank, F.col("v")))
+
+
+def _median() -> Column:
+    low, high = at_rank(F.floor((F.col("total") - 1) / 2)), at_rank(F.floor(F.col("total") / 2))
+    return (low + high) / 2
+
+
 def summarize(df: DataFrame, by: list[str], error: str = "error_s") -> DataFrame:
     """n, bias, medians, the nearest-rank-low p90 and shares within one and three minutes, by group."""
-    e, size = F.col(error), F.abs(F.col(error))
-    out = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.avg(e), 1).alias("mean_error_s"),
-        F.expr(f"percentile({error}, 0.5)").alias("median_error_s"),
-        F.expr(f"percentile(abs({error}), 0.5)").alias("median_abs_error_s"),
-        F.collect_list(size).alias("_all"),
-        F.round(100 * F.avg((size <= 60).cast("int")), 1).alias("pct_within_60s"),
-        F.round(100 * F.avg((size <= 180).cast("int")), 1).alias("pct_within_180s"),
-    )
-    return out.withColumn("p90_abs_error_s", nearest_rank_low(F.col("_all"), 0.9, F.col("n"))).drop("_all")
+    size = lambda limit: F.sum(F.when(F.abs("v") <= limit, F.col("n")).otherwise(0))
+    n = F.sum("n")
+    signed = by_value(df, by, F.col(error)).groupBy(*by).agg(
+        n.alias("n"),
+        F.round(F.sum(F.col("v") * F.col("n")) / n, 1).alias("mean_error_s"),
+        _median().alias("median_error_s"),
+        F.round(100 * size(60) / n, 1).alias("pct_within_60s"),
+        F.round(100 * size(180) / n, 1).alias("pct_within_180s"),
+    )
+    plain = by_value(df, by, F.abs(error)).groupBy(*by).agg(_median().alias("median_abs_error_s"), at_rank(F.floor(F.lit(0.9) * (F.col("total") - 1))).alias("p90_abs_error_s"))
+    on = None
+    for c in by:
+        same = F.col(f"s.{c}").eqNullSafe(F.col(f"p.{c}"))
+        on = same if on is None else on & same
+    both = signed.alias("s").join(plain.alias("p"), on) if by else signed.alias("s").join(plain.alias("p"))
+    return both.select(*[F.col(f"s.{c}").alias(c) for c in by], "n", "mean_error_s", "median_error_s", "median_abs_error_s", "pct_within_60s", "pct_within_180s", "p90_abs_error_s")
 
 
 def _rates(delay: str) -> list:

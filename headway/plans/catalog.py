@@ -307,10 +307,10 @@ def a8_accuracy_by_bucket(spark, d):
 def _pairs_by_route(spark, d):
     p = accuracy.pairs(V.predictions(spark, d), V.arrivals(spark, d))
     user = F.split_part("trip_id", F.lit("T"), F.lit(2)).cast("long")
-    return p.withColumns({"route_id": F.concat(F.split_part("trip_id", F.lit(":"), F.lit(1)), F.lit(":R"), user % 7), "hour": F.hour(F.timestamp_seconds("actual")).cast("long")})
+    return p.withColumns({"route_id": F.concat(F.split_part("trip_id", F.lit(":"), F.lit(1)), F.lit(":R"), user % 7), "hour": F.hour(X.local(F.timestamp_seconds("actual"))).cast("long")})
 
 
-BY_ROUTE = "(select *, split_part(trip_id, ':', 1) || ':R' || (cast(split_part(trip_id, 'T', 2) as bigint) % 7) as route_id, actual % 86400 // 3600 as hour from pairs)"
+BY_ROUTE = "(select *, split_part(trip_id, ':', 1) || ':R' || (cast(split_part(trip_id, 'T', 2) as bigint) % 7) as route_id, cast(hour(timezone('America/Los_Angeles', timezone('UTC', make_timestamp(actual * 1000000)))) as bigint) as hour from pairs)"
 
 
 @query(f"select route_id, {SUMMARY} from {BY_ROUTE} group by route_id", "pairs")

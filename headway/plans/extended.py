@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headway.functions import expressions as X
 from headway.ml import eta
-from headway.operators import tables as T
+from headway.operators import accuracy, tables as T
 from headway.plans.catalog import GRAIN_COLUMNS, query
 from headway.quality import contracts, expectations as E
 from headway.sources import feed, views as V
@@ -162,9 +162,12 @@ def m7_per_horizon(spark, d):
 @query("""select count(*) as n, round(avg(residual_s), 4) as mean_s, min(residual_s) as min_s, max(residual_s) as max_s, list_sort(list(residual_s))[count(*) // 2 + 1] as mid_s, list_sort(list(residual_s))[cast(floor(0.1 * count(*)) as bigint) + 1] as p10_s,
 list_sort(list(residual_s))[cast(floor(0.9 * count(*)) as bigint) + 1] as p90_s, count(distinct trip_id) as n_trips from features""", "features")
 def a16_residuals(spark, d):
-    n, r = F.count(F.lit(1)), "residual_s"
-    at = lambda k: F.get(F.array_sort(F.collect_list(r)), k.cast("int"))
-    return _features(spark, d).agg(n.alias("n"), F.round(F.avg(r), 4).alias("mean_s"), F.min(r).alias("min_s"), F.max(r).alias("max_s"), at(F.floor(n / 2)).alias("mid_s"), at(F.floor(0.1 * n)).alias("p10_s"), at(F.floor(0.9 * n)).alias("p90_s"), F.countDistinct("trip_id").alias("n_trips"))
+    rows = _features(spark, d)
+    ranks = accuracy.by_value(rows, [], F.col("residual_s"))
+    at = lambda k: accuracy.at_rank(F.floor(k))
+    n = F.sum("n")
+    found = ranks.agg(n.alias("n"), F.round(F.sum(F.col("v") * F.col("n")) / n, 4).alias("mean_s"), F.min("v").alias("min_s"), F.max("v").alias("max_s"), at(F.col("total") / 2).alias("mid_s"), at(0.1 * F.col("total")).alias("p10_s"), at(0.9 * F.col("total")).alias("p90_s"))
+    return found.join(F.broadcast(rows.agg(F.countDistinct("trip_id").alias("n_trips"))))  # one row each
 
 
 MODEL = ["horizon_s", "hour", "dow", "stop_sequence_f"]
@@ -184,8 +187,7 @@ def m6_model(spark, d):
 @query()
 def m8_fallback(spark, d):
     scored = _scored(spark, d).persist()
-    mae = scored.agg(F.avg(F.abs(F.col("residual_s") - F.col("residual_hat"))).alias("m"), *[F.avg(F.abs(F.col("residual_s") - F.col(b))).alias(b) for b in ("by_agency", "by_mean", "by_bucket")]).first()
-    gate = mae.m is not None and mae.m < min(mae.by_agency, mae.by_mean, mae.by_bucket)
+    gate = eta.baseline_gate(scored)
     return eta.correct(scored, gate).select(*GRAIN_COLUMNS, "issued", "predicted", "corrected", "source")
 
 
