@@ -22,9 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """A copy in the shared checkpoint folder, with no lineage. A folder is made only where the session names none."""
+    """A copy in the shared checkpoint folder, with no lineage. In local mode a folder is made where the session names none;
+    on a cluster, whose executors don't share one of the driver's, that is an error."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="headway-"))
     return df.checkpoint(eager=True)
 
@@ -70,6 +73,31 @@ def text_key(*cols: Column) -> Column:
     return F.xxhash64(*cols)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that the table has no column of."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+        taken.add(n.lower())
+    return out
+
+
+def least_of_group(labelled: DataFrame, crowd: int = 1024) -> DataFrame:
+    """(node, component_id) of (node, root, first_id): the least first_id of a root, for each of its nodes.
+
+    A node alone needs no join. Roots of over `crowd` nodes are few, one at most for so many nodes, and are broadcast if
+    they have been counted and found small, so a large group meets in no one task; the others are joined by root.
+    """
+    groups = cut(labelled.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    large = small(groups.where(F.col("n") > crowd).select("root", F.col("component_id").alias("of_large"), F.lit(True).alias("is_large")))
+    rows = labelled.join(large, "root", "left")
+    found = rows.where("is_large").select("node", F.col("of_large").alias("component_id"))
+    rest = rows.where("is_large is null").join(groups.where(F.col("n") <= crowd).select("root", "component_id", "n"), "root", "left")
+    return found.unionAll(rest.select("node", F.when(F.col("n").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
 def components(edges: DataFrame, limit: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable over edges (a, b) of longs, for each node that has an edge.
 

@@ -58,14 +58,16 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     and _key tells texts of one doc_id apart."""
     known = cut(benchmark_spans(benchmark, span))
     lengths = sorted(r[0] for r in known.select("span").distinct().collect())  # at most `span` numbers
-    known = small(known)
+    chosen = small(known.select("span", "fp", F.lit(True).alias("chosen")).distinct())
+    known = small(known, weight=1 + F.size("items"))
     marker = lambda h: F.array(F.struct(F.lit(0).alias("span"), F.xxhash64("doc_id", "_key").alias("fp"), F.size(h).alias("start"), F.array(F.lit(0).cast("long")).alias("spans")))
     runs = docs.select("doc_id", "text").select("doc_id", text_key(F.col("text")).alias("_key"), "text")
     runs = runs.select("doc_id", "_key", F.explode(let(hashed_words(F.col("text")), lambda h: F.concat(marker(h), *[winnowed(h, m) for m in lengths]))).alias("r")).select("doc_id", "_key", "r.*")
-    met = runs.join(known, ["span", "fp"], "left")
-    # A shared fingerprint is extended to the spans that chose it; the row of span 0 stands for the document itself.
-    at = F.when(F.col("span") == 0, F.array(F.lit(-1))).otherwise(F.filter(F.transform("spans", lambda x, i: F.when(x == F.col("word_span"), F.col("start") + i)), lambda x: x.isNotNull()))
-    met = met.where("span = 0 or word_span is not null").select("doc_id", "_key", "span", "start", "items", F.explode(at).alias("at"))
+    # Runs whose fingerprint the benchmark chose are extended to their spans, and those are looked up whole; the row of
+    # span 0 stands for the document itself.
+    met = runs.join(chosen, ["span", "fp"], "left").where("span = 0 or chosen")
+    met = met.select("doc_id", "_key", "span", "fp", "start", F.posexplode("spans").alias("i", "word_span")).join(known, ["span", "fp", "word_span"], "left").where("span = 0 or items is not null")
+    met = met.select("doc_id", "_key", "span", "start", "items", (F.col("start") + F.col("i")).alias("at"))
     own = F.col("span") == 0
     found = met.groupBy("doc_id", "_key").agg(
         F.count(F.when(own, 1)).alias("copies"),

@@ -15,20 +15,22 @@ from pyspark.sql import functions as F
 
 #: At most about so many pages teach the weights; which, a hash of their ids decides.
 LABELLED = 20_000
-#: Keys of tags that are weighed, the most frequent first.
-KEYS = 5_000
 #: What a word is worth, a tag that says nothing, and the most that a tag can cost.
 WORD_SCORE, TAG_SCORE, TAG_MOST = 1.0, -0.01, 40.0
 
 #: Elements whose inside is no text, that are no part of an article, and that are inside a line.
-RAW = {"script", "style", "template", "svg", "math", "iframe", "noscript", "textarea", "select", "canvas", "object", "video", "audio", "title", "xmp", "noembed", "noframes", "datalist"}
-ASIDE = {"nav", "footer", "aside", "form", "dialog", "menu", "button", "head", "fieldset", "label", "input", "option"}
+RAW = {"script", "style", "template", "svg", "iframe", "noscript", "textarea", "select", "canvas", "object", "video", "audio", "title", "xmp", "noembed", "noframes", "datalist"}
+ASIDE = {"nav", "footer", "aside", "form", "dialog", "menu", "button", "head", "fieldset", "input", "option"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "mark", "q", "rb", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Words in class, id or role that name what is no part of an article, and what turns that around.
-NOT_ARTICLE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "commentlist", "complementary", "contentinfo", "cookie", "cookies", "consent", "dialog", "disclaimer", "disqus", "discussion", "footer", "form", "gdpr", "hidden", "login", "masthead", "menu", "menubar", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promoted", "promotion", "related", "replies", "reply", "respond", "recommended", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets", "alert", "respondents", "teaser"}
+NOT_ARTICLE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "commentlist", "complementary", "contentinfo", "cookie", "cookies", "consent", "dialog", "disclaimer", "disqus", "footer", "form", "gdpr", "hidden", "login", "masthead", "menu", "menubar", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo", "promoted", "promotion", "related", "replies", "reply", "respond", "recommended", "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget", "widgets", "alert", "respondents", "teaser"}
 HAS = {"with", "has", "no", "without"}
+#: Words that may stand next to those in a name without changing what it names.
+PLACES = {"bar", "block", "bottom", "box", "button", "buttons", "center", "container", "content", "form", "global", "header", "inline", "inner", "item", "items", "left", "link", "links", "list", "main", "mobile", "nav", "outer", "page", "panel", "right", "section", "side", "site", "slot", "small", "text", "title", "top", "unit", "wrap", "wrapper", "area", "policy", "posts", "articles", "stories", "thread", "count", "icon", "icons", "media", "us", "up", "to"}
 
+#: What a page has whose markup may name its article.
+MARKED = r"(?i)<(?:article|main)[\s>]|articlebody"
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)", re.S)
 NAMES = re.compile(r"(?:^|[\s\"'])(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -58,17 +60,27 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         yield "text", "", page[at:]
 
 
-def keys(name: str, attributes: str) -> tuple[str, set[str]]:
-    """What a tag is weighed by, and the words in its names."""
+def names_an_aside(value: str) -> bool:
+    """Whether a class, id or role names what is no part of an article: by its words alone, but for such as may stand next
+    to them. related is such a name, and related-posts; related-work is not."""
+    words = {x.lower() for x in PART.findall(value) if not x.isdigit()}
+    return bool(words & NOT_ARTICLE) and not words & HAS and words <= NOT_ARTICLE | PLACES
+
+
+def keys(name: str, attributes: str) -> tuple[str, bool]:
+    """What a tag is weighed by, and whether its names say that it is no part of an article."""
     found: set[str] = set()
+    aside = False
     for what, *values in NAMES.findall(attributes) if "=" in attributes or "hidden" in attributes else ():
         value = "".join(values)
         if what.lower() in ("hidden", "aria-hidden"):
             if value.lower() != "false":
                 found.add("hidden")
+                aside = True
         else:
             found.update(x.lower() for x in PART.findall(value))
-    return (f"{name}.{' '.join(sorted(found))}" if found else name), found
+            aside = aside or any(map(names_an_aside, value.split()))
+    return (f"{name}.{' '.join(sorted(found))}" if found else name), aside
 
 
 class Tag:
@@ -85,14 +97,14 @@ def parse(page: str) -> list[str | Tag]:
     kind that ends pages, else a forgotten end tag would take the article along. An element that holds an article stays.
     """
     found = list(tokens(page))
-    names = [keys(name, value) if kind == "open" else ("/" + name, set()) for kind, name, value in found]
+    names = [keys(name, value) if kind == "open" else ("/" + name, False) for kind, name, value in found]
     ends: dict[int, int] = {}
     opened: dict[str, list[int]] = {}
     articles: list[int] = []
     for i, (kind, name, value) in enumerate(found):
         if kind == "open" and name not in VOID and not value.endswith("/"):
             opened.setdefault(name, []).append(i)
-            if name in ("article", "main") and not names[i][1] & NOT_ARTICLE:
+            if name in ("article", "main") and not names[i][1]:
                 articles.append(i)
         elif kind == "close" and opened.get(name):
             ends[opened[name].pop()] = i
@@ -102,8 +114,7 @@ def parse(page: str) -> list[str | Tag]:
             return True
         if name in ("html", "body") or i in ends and bisect(articles, ends[i]) > bisect(articles, i - 1):
             return False
-        words = names[i][1]
-        return name in ASIDE or name == "header" and depth <= 0 or bool(words & NOT_ARTICLE) and not words & HAS
+        return name in ASIDE or name == "header" and depth <= 0 or names[i][1]
 
     out: list[str | Tag] = []
     i, depth = 0, 0
@@ -151,9 +162,10 @@ def counts(page: str) -> Counter:
 
 
 def weights(pages: DataFrame, most: int = LABELLED) -> dict[str, float]:
-    """The score of each tag key, by how much more often labelled pages have it outside of the article than inside."""
-    n = pages.count()
-    part = pages.select("page_id", "html")
+    """The score of each tag key, by how much more often labelled pages have it outside of the article than inside. All
+    keys of those pages count; their number is bounded by that of the pages."""
+    part = pages.select("page_id", "html").where(F.col("html").rlike(MARKED))
+    n = part.count()
     if n > most:
         part = part.where(F.pmod(F.xxhash64(F.lit(1), "page_id"), F.lit(1_000_003)) < int(1_000_003 * most / n))
 
@@ -166,8 +178,7 @@ def weights(pages: DataFrame, most: int = LABELLED) -> dict[str, float]:
 
     rows = part.select("html").mapInArrow(run, "key string, inside boolean, n long")
     found = rows.groupBy("key").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("inside"), F.lit(0)).otherwise(F.col("n"))).alias("b"))
-    top = found.orderBy((F.col("a") + F.col("b")).desc(), "key").limit(KEYS).collect()
-    return {r.key: -min(TAG_MOST, 4 * log((r.b + 0.5) / (r.a + 0.5))) for r in top if r.b > r.a}
+    return {r.key: -min(TAG_MOST, 4 * log((r.b + 0.5) / (r.a + 0.5))) for r in found.where("b > a").toLocalIterator()}
 
 
 def extract(page: str | None, scores: dict[str, float]) -> str:
@@ -201,7 +212,7 @@ def main_text(pages: DataFrame, most: int = LABELLED) -> DataFrame:
     weigh the same, and elements that are no part of an article are still left out. A null or empty page, or one without
     words, has an empty text; repeated rows each get theirs; an empty table gives no rows.
     """
-    sent = pages.sparkSession.sparkContext.broadcast(weights(pages, most))  # KEYS scores
+    sent = pages.sparkSession.sparkContext.broadcast(weights(pages, most))  # of at most `most` pages
 
     def run(batches):
         for b in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import cut, let, small, text_key
+from headway.llm.common import cut, fresh, let, small, text_key
 
 LINES = 3
 BLANK = " \t\r\x0b\x0c"
@@ -51,18 +51,18 @@ def dedup(docs: DataFrame, n: int = LINES) -> DataFrame:
     """
     n_lines, n_removed = "n_lines", "n_removed"
     rows = docs.select(*[c for c in docs.columns if c not in (n_lines, n_removed)])
-    found = cut(later(docs, n).select(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"), F.col("at").alias("_at")))
-    found = small(found, weight=1 + F.size("_at") / 4)
+    id_, key_, at_, new_ = fresh(rows, "_id", "_key", "_at", "_new")
+    found = cut(later(docs, n).select(F.col("doc_id").alias(id_), F.col("_key").alias(key_), F.col("at").alias(at_)))
+    found = small(found, weight=1 + F.size(at_) / 4)
     key = text_key(F.col("text"))
-    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (key == F.col("_k")), "left")
+    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col(id_)) & (key == F.col(key_)), "left")
 
     def kept(x: Column) -> Column:
-        cover = let(_full(x), lambda p: F.array_distinct(F.flatten(F.transform("_at", lambda a: F.slice(p, a + 1, n)))))
+        cover = let(_full(x), lambda p: F.array_distinct(F.flatten(F.transform(at_, lambda a: F.slice(p, a + 1, n)))))
         stay = F.array_except(F.sequence(F.lit(0), F.size(x) - 1), cover)
         return F.struct(F.array_join(F.transform(stay, lambda i: F.get(x, i)), "\n").alias("text"), F.size(x).alias("n"), (F.size(x) - F.size(stay)).alias("gone"))
 
-    new = F.when(F.col("_at").isNotNull(), let(_lines(), kept))
-    joined = joined.withColumn("_new", new)
-    out = {"text": F.when(F.col("_new").isNull(), F.col("text")).otherwise(F.col("_new.text"))}
+    joined = joined.withColumn(new_, F.when(F.col(at_).isNotNull(), let(_lines(), kept)))
+    out = {"text": F.when(F.col(new_).isNull(), F.col("text")).otherwise(F.col(f"{new_}.text"))}
     count = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n")))
-    return joined.select(*[out.get(c, F.col(c)).alias(c) for c in rows.columns], count.cast("long").alias(n_lines), F.coalesce("_new.gone", F.lit(0)).cast("long").alias(n_removed))
+    return joined.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in rows.columns], count.cast("long").alias(n_lines), F.coalesce(f"{new_}.gone", F.lit(0)).cast("long").alias(n_removed))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headway.llm.common import components, cut, small
+from headway.llm.common import components, cut, least_of_group, small
 
 SEED = 42
 #: Shingles whose bits are counted at once, so that one long text needs bounded memory.
@@ -111,20 +111,25 @@ def links(fps: DataFrame, radius: int = 4, count: int = 3, crowd: int = 1024) ->
     return (near_pairs if near is None else near_pairs.unionAll(near)).distinct()
 
 
-def near_duplicates(docs: DataFrame, n: int = 4, radius: int = 4, count: int = 3, crowd: int = 1024) -> DataFrame:
+def tables(fingerprints: int) -> int:
+    """How many segments: three, whose keys of 21 bits share an entry with 2^9 others of 2^30 fingerprints; beyond, two of
+    32 bits, whose balls are larger but whose entries stay small."""
+    return 3 if fingerprints <= 1 << 30 else 2
+
+
+def near_duplicates(docs: DataFrame, n: int = 4, radius: int = 4, count: int | None = None, crowd: int = 1024) -> DataFrame:
     """(doc_id, fingerprint, component_id): a row for each row of docs (doc_id, text).
 
     component_id is the smallest doc_id that links of at most `radius` differing bits reach. A null or empty text has
     fingerprint zero and links like any other; a row without doc_id keeps its row and can't be a smallest id; repeated
     rows are links to themselves; an empty table gives no rows. Copies of a fingerprint are one node, so a group of
-    copies costs one row in what follows.
+    copies costs one row in what follows. `count` segments are searched, by default as many as their number asks for.
     """
     fps = cut(fingerprints(docs, n))
     nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(nodes.select("fp"), radius, count, crowd))
-    labelled = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = cut(labelled.join(smallest, "root").select("fp", "component_id"))
+    roots = components(links(nodes.select("fp"), radius, count or tables(nodes.count()), crowd))
+    labelled = nodes.withColumnRenamed("fp", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = cut(least_of_group(labelled, crowd).withColumnRenamed("node", "fp"))
     return fps.join(members, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 

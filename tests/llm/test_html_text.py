@@ -76,3 +76,13 @@ def test_best_run_is_the_maximum():
         best = max((sum(map(value, parts[i:j])) for i in range(len(parts)) for j in range(i + 1, len(parts) + 1)), default=0)
         got = html_text.extract(" ".join(parts), scores)
         assert (best <= 0) == (got == "")
+
+
+def test_names_that_only_hold_such_a_word_are_part_of_the_article():
+    body = " ".join(f"word{i}" for i in range(30))
+    for mark, end in (('<section class="discussion">', "</section>"), ('<div id="related-work">', "</div>"), ('<p class="search-algorithms">', "</p>"), ('<div class="alert-level">', "</div>"), ("<math><mi>", "</mi></math>"), ("<label>", "</label>")):
+        page = f"<body><nav>menu</nav><article><p>{body}</p>{mark}inside it{end}<p>{body}</p></article></body>"
+        assert "inside it" in html_text.extract(page, {}), mark
+    for mark in ('class="related-posts"', 'class="ad"', 'id="comments"', 'class="cookie-notice"', 'class="share-buttons"', "hidden", 'class="sidebar_left"', 'role="search"'):
+        page = f"<body><article><p>{body}</p><div {mark}>not this</div><p>{body}</p></article></body>"
+        assert html_text.extract(page, {}) == f"{body} {body}", mark

@@ -40,3 +40,11 @@ def test_repeated_rows_stay(spark):
 
 def test_empty(spark):
     assert line_dedup.dedup(docs_frame(spark, [])).collect() == []
+
+
+def test_names_of_its_own_may_clash(spark):
+    docs = docs_frame(spark, [(1, "a\nb\nc"), (2, "z\na\nb\nc")])
+    for c in ("_id", "_key", "_at", "_new", "_k", "at", "w1", "n_lines"):
+        docs = docs.withColumn(c, docs["doc_id"] * 10)
+    out = {r.doc_id: r for r in line_dedup.dedup(docs).collect()}
+    assert out[2].text == "z" and out[2]["_id"] == out[2]["_at"] == 20 and out[2].n_lines == 4

@@ -2,7 +2,7 @@ import random
 
 import xxhash
 
-from headway.llm import simhash
+from headway.llm import common, simhash
 from tests.llm.fixtures import docs_frame, words
 
 
@@ -83,3 +83,18 @@ def test_one_of_each_group_stays(spark):
     out = simhash.keep_one(docs_frame(spark, rows))
     assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "2", "None"]
     assert out.columns == docs_frame(spark, rows).columns
+
+
+def test_any_number_of_segments_and_large_groups_agree(spark):
+    import random
+
+    rnd = random.Random(8)
+    base = [rnd.getrandbits(64) for _ in range(40)]
+    fps = {b ^ sum(1 << k for k in rnd.sample(range(64), rnd.randint(0, 3))) for b in base for _ in range(12)} | set(base)
+    rows = spark.createDataFrame([(simhash.signed(x),) for x in fps], "fp long")
+    found = [{(r.node, r.root) for r in common.components(simhash.links(rows, 4, count, crowd)).collect()} for count, crowd in ((3, 1024), (2, 1024), (3, 4), (2, 4))]
+    assert found[0] and all(f == found[0] for f in found)
+    assert simhash.tables(10**6) == 3 and simhash.tables(10**10) == 2
+    nodes = spark.createDataFrame([(k, k % 3 if k % 3 else k, 100 - k) for k in range(60)], "node long, root long, first_id long")
+    small, large = ({(r.node, r.component_id) for r in common.least_of_group(nodes, c).collect()} for c in (1000, 5))
+    assert small == large and len(small) == 60 and (58, 100 - 58) in small and (55, 42) in small and (6, 94) in small
