@@ -79,3 +79,34 @@ def test_nothing_to_learn_from(spark):
 def test_labels_are_bounded(spark):
     known = label_frame(spark, [(i, 1, 0) for i in range(2000)])
     assert 350 < importance.labelled(known, 500).count() < 650
+
+
+def test_ratios_against_brute_force(spark):
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(9)
+    vocab = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join(rnd.choices(vocab, k=30)) + (" vile stuff" if i % 4 == 0 else "")) for i in range(800)]
+    docs = docs_frame(spark, rows)
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(0, 800, 2)], "doc_id long, quality int, toxic int")
+    known = importance.labelled(labels)
+    good = {r.doc_id for r in known.collect() if r.good and r.fold > 0}
+    raw, want = np.zeros(importance.BUCKETS), np.zeros(importance.BUCKETS)
+    for i, t in rows:
+        found = np.unique(importance.ngrams(t))
+        raw[found] += 1
+        want[found] += i in good
+    part = len(good) / len(rows)
+    expected = raw * part
+    away = (expected - want) / np.sqrt(expected * (1 - part) + 1e-9)
+    ratios = importance.model(docs, known)
+    for k, z in enumerate(importance.SIGNIFICANT):
+        brute = np.where(away > z, np.log((want + importance.PSEUDO) / (expected + importance.PSEUDO)), 0)
+        assert np.abs(ratios[k] - brute).max() < 1e-5
+    assert ratios[0].min() < -1 and (ratios <= 0).all()
+    weights = {r.doc_id: r.log_weights for r in importance.log_weights(docs, ratios).collect()}
+    for i, t in rows[:40]:
+        g = importance.ngrams(t)
+        assert np.allclose(weights[i], [np.maximum(r[g[0]], r[g[1]]).sum() for r in ratios], atol=1e-3)

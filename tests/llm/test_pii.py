@@ -85,3 +85,32 @@ def test_em_learns_who_is_reliable():
 def test_empty(spark):
     assert pii.detect(docs_frame(spark, [])).collect() == []
     assert [r.spans for r in pii.detect(docs_frame(spark, [(1, "none"), (2, None)])).collect()] == ["", ""]
+
+
+def test_secrets_and_their_like(spark):
+    rnd = random.Random(5)
+    hexed = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    good = [lambda: f'token = "{hexed(40)}"', lambda: f"api_key: {hexed(32)}", lambda: f"password={hexed(9)}Qz{hexed(9)}", lambda: f"the secret is ghp_{hexed(36)}"]
+    bad = [lambda: f"see /usr/lib/python{rnd.randint(2, 9)}/site-packages/x", lambda: f"order-number-{rnd.randint(10**9, 10**10)}-of-today", lambda: "incomprehensibilities2", lambda: "1234567890123456789012", lambda: "a plain sentence"]
+    rows = [(i, f"Words before, {rnd.choice(good if i % 2 else bad)()} and after.") for i in range(400)]
+    out = {r.doc_id: r for r in pii.detect(docs_frame(spark, rows)).collect()}
+    found = {i: "secret:" in out[i].spans for i, _ in rows}
+    precision = sum(found[i] for i in found if i % 2) / max(1, sum(found.values()))
+    recall = sum(found[i] for i in found if i % 2) / 200
+    assert precision > 0.95 and recall > 0.9, (precision, recall)
+    for i, t in rows:
+        if out[i].n_added:
+            a, b = map(int, out[i].spans.split(",")[-1].split(":")[1:])
+            assert t[a:b].strip('"') == t[a:b] and len(t[a:b]) >= 16
+    assert all(out[i].n_spans == len([s for s in out[i].spans.split(",") if s]) for i in out)
+
+
+def test_the_drivers_documents_gain_spans(spark):
+    import os
+
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet" if os.path.exists(folder) else "")
+    out = pii.detect(docs).join(docs.select("doc_id", "text"), "doc_id")
+    has = out.selectExpr("n_added > 0 and spans like '%secret:%' as found", "coalesce(text, '') like '%token = \"%' as planted").groupBy("found", "planted").count().collect()
+    n = {(r.found, r.planted): r["count"] for r in has}
+    assert n[True, True] > 0.95 * (n[True, True] + n.get((False, True), 0)) and n.get((True, False), 0) <= 0.02 * n[True, True]
