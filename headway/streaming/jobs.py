@@ -188,6 +188,7 @@ def sliding(positions: DataFrame, width: str, step: str) -> DataFrame:
 
 
 def sessions(positions: DataFrame, gap: str = "2 hours") -> DataFrame:
-    """(trip_id, start_epoch, n): runs of a trip's positions with no gap as long."""
-    w = with_event_time(positions).groupBy(F.session_window("event_time", gap).alias("w"), "trip_id").agg(F.count(F.lit(1)).alias("n"))
+    """(trip_id, start_epoch, n): runs of a trip's positions with no gap as long. Spark also merges sessions that only touch,
+    so the window is a microsecond, the least step of a timestamp, shorter than the gap that ends a run."""
+    w = with_event_time(positions).groupBy(F.session_window("event_time", f"{gap} -1 microseconds").alias("w"), "trip_id").agg(F.count(F.lit(1)).alias("n"))
     return w.select("trip_id", F.unix_timestamp("w.start").alias("start_epoch"), "n")

@@ -13,6 +13,7 @@ from headway.operators.tables import VersionedTable, merge_by_partition, merge_e
 from headway.quality import contracts, expectations
 from headway.serving.store import Store, export
 from headway.sources import static, views as V
+from headway.streaming import jobs
 
 
 def one(spark, expression):
@@ -162,3 +163,10 @@ def test_store(spark, sf, tmp_path):
     with pytest.raises(ValueError):
         store.worst_routes(0)
     assert store.meta(now=4e9)["stale"] and set(GRAIN)
+
+
+def test_sessions_end_at_a_gap_of_just_the_bound(spark, tmp_path):
+    times = {"a": [0, 7200, 14399, 21598], "b": [0, 7199, 7200, 14401], "c": [5]}
+    spark.createDataFrame([(t, x) for t, xs in times.items() for x in xs], "trip_id string, report_epoch long").coalesce(1).write.parquet(f"{tmp_path}/p")
+    out = jobs.collected(jobs.sessions(jobs.files_of(spark, f"{tmp_path}/p")), "complete").collect()
+    assert sorted(tuple(r) for r in out) == [("a", 0, 1), ("a", 7200, 3), ("b", 0, 3), ("b", 14401, 1), ("c", 5, 1)]
