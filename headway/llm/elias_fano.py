@@ -8,24 +8,11 @@ from pathlib import Path
 
 import numpy as np
 
-#: Codes of probabilities: so many steps over the range of log10 p; code 0 stands for none.
-LOWEST, CODES = -16.0, (1 << 12) - 2
-
 #: Lookups that are made at once: what they need stays in the cache.
 CHUNK = 1 << 14
 
 U = np.uint64
 
-
-def quantise(log10_p: np.ndarray) -> np.ndarray:
-    return (np.clip(np.rint((log10_p - LOWEST) * (CODES / -LOWEST)), 0, CODES) + 1).astype(np.uint16)
-
-
-def restore(codes: np.ndarray) -> np.ndarray:
-    """log10 p; of code 0, minus infinity."""
-    return np.where(codes > 0, (codes.astype(np.float64) - 1) * (-LOWEST / CODES) + LOWEST, -np.inf)
-
-
 #: The place of the k-th one in a byte, at 8 * byte + k.
 IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.int64).reshape(-1)
 #: Every so many ones (or zeros) have their word noted.
@@ -152,7 +139,7 @@ class Sequence:
 
 
 class Trie:
-    """N-grams of one length, each with a code of its smoothed probability.
+    """N-grams of one length, each with a code, such as the place of its count among the distinct ones.
 
     A level holds, for each node of the level above and in its order, the words that follow it, made non-decreasing by the
     node's number times the number of words; and pointers, non-decreasing, to the first successor of each node. A lookup
@@ -167,7 +154,7 @@ class Trie:
         for size in sizes:
             parts.append(raw[at : at + size])
             at += -(-int(size) // 8) * 8
-        self.universe, self.codes = U(int(parts[0].view(U)[0])), parts[1].view(np.uint16)
+        self.universe, self.codes = U(int(parts[0].view(U)[0])), parts[1].view(np.uint32)
         found = [Sequence(parts[k : k + Sequence.PARTS]) for k in range(2, len(parts), Sequence.PARTS)]
         self.levels, self.pointers = found[0::2], found[1::2]
 
@@ -176,7 +163,7 @@ class Trie:
         """From a column for each word of the n-grams, sorted by them, none twice."""
         size, n = len(grams[0]), len(grams)
         universe = 1 + max((int(g.max()) for g in grams if size), default=0)
-        arrays = [np.array([universe], U), codes.astype(np.uint16)]
+        arrays = [np.array([universe], U), codes.astype(np.uint32)]
         node, new = np.zeros(size, np.int64), np.zeros(size, bool)
         new[:1] = True
         for k, words in enumerate(grams):

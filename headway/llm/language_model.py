@@ -1,8 +1,8 @@
 """Scores of texts by a trigram model that is kept as shards of an Elias-Fano trie.
 
 Tokens travel in blocks of documents, as one row of bytes for a block and shard, so an n-gram is asked for once for each
-block that holds it, however often it occurs. Blocks ask shards of words for counts and numbers, shards of pairs for
-counts, and shards of triples for probabilities; what the shards tell comes back to the blocks, which add up by document.
+block that holds it, however often it occurs. Blocks ask shards of words for counts and numbers, and shards of pairs and
+of triples for counts; what the shards tell comes back to the blocks, which discount and add up by document.
 A row goes only from a block to a shard that it has n-grams for, so rows are never more than n-grams.
 """
 
@@ -20,16 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.common import cut, passing
-from headway.llm.elias_fano import Mapped, quantise, restore
+from headway.llm.elias_fano import Mapped
 
 #: What ends a text, and stands before the next one's first word; no word has white space.
 END = b"\n"
 FOLDS = 10
 #: Tokens in a block, and the mean in a shard.
 BLOCK, SHARD = 2_000_000, 2_000_000
-#: Triples are counted by how often they occur in one of so many slices, dealt by their hash, before any is stored: the
-#: discount needs the numbers of those that occur once and twice, over all documents.
-SLICES = 64
 #: The discount where nothing occurs twice.
 DISCOUNT = 0.75
 
@@ -320,7 +317,8 @@ class Merged:
 
     def tell(self, rows: list[dict], level: int, values: np.ndarray, total: int, shards: int, sums: list[np.ndarray]) -> pa.Table:
         """Each block's n-grams' values and, for each of its contexts, how many words follow it; and the shard's sums,
-        with its part of those numbers for contexts that were dealt to several shards."""
+        with its part of those numbers for contexts that were dealt to several shards. An n-gram is in one shard, so
+        shards' sums add up."""
         out, x, y = [], 0, 0
         for r, a, b in zip(rows, self.context_lengths, self.lengths):
             out.append({"block": r["block"], "level": level, "shard": r["shard"], "data": pack(self.kinds[self.context_at[x : x + a]].astype(np.uint32), values[self.at[y : y + b]])})
@@ -330,9 +328,7 @@ class Merged:
         return pa.Table.from_pylist(out, TELL_ARROW)
 
 
-def ask_pairs(total: int, shards: int, slices: int):
-    """Pairs, and in rows of shards from `shards` on the triples of one slice."""
-
+def ask_pairs(total: int, shards: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[dict] = []
         for row in left.to_pylist():
@@ -341,20 +337,13 @@ def ask_pairs(total: int, shards: int, slices: int):
             pairs = block.pairs()
             pairs.deal(total, shards)
             out += pairs.ask()
-            third, second, first = block.gid[block.tokens[2:]], block.gid[block.tokens[1:-1]], block.gid[block.before[1:-1]]
-            inside = block.trains[2:] & ~block.starts[2:]
-            h = mix((mix((first << U(32)) | second) + third) * U(0x9E3779B97F4A7C15))[inside]
-            if row["n"] > 1 and not block.starts[1] and block.trains[1]:
-                h = np.append(h, mix((mix((block.gid[block.before[0]] << U(32)) | block.gid[block.tokens[0]]) + block.gid[block.tokens[1]]) * U(0x9E3779B97F4A7C15))[None])
-            h, n = np.unique(h[h % U(slices) == 0], return_counts=True)
-            edge = np.searchsorted(word_shards(h, shards), np.arange(shards + 1))
-            out += [{"shard": shards + s, "block": block.number, "data": pack(steps(h[a:e]), n[a:e].astype(np.uint32))} for s, (a, e) in enumerate(zip(edge, edge[1:])) if a < e]
         return pa.Table.from_pylist(out, ASK_ARROW)
 
     return run
 
 
 def once_and_twice(n: np.ndarray) -> np.ndarray:
+    """How many n-grams training has once and twice."""
     return np.array([(n == 1).sum(), (n == 2).sum()], np.int64)
 
 
@@ -363,14 +352,8 @@ def tell_pairs(total: int, shards: int):
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        if rows[0]["shard"] >= shards:
-            asked = [unpack(r["data"], U, np.uint32) for r in rows]
-            _, at = np.unique(np.concatenate([np.cumsum(k, dtype=U) for k, _ in asked]), return_inverse=True)
-            n = np.bincount(at, np.concatenate([c for _, c in asked]))
-            none = np.zeros(0, np.int64)
-            return pa.Table.from_pylist([{"block": -1, "level": 2, "shard": rows[0]["shard"], "data": pack(none.astype(U), none, np.zeros(2, np.int64), once_and_twice(n))}], TELL_ARROW)
         m = Merged(rows)
-        return m.tell(rows, 2, m.n.astype(U), total, shards, [once_and_twice(m.n), np.zeros(2, np.int64)])
+        return m.tell(rows, 2, m.n.astype(U), total, shards, [once_and_twice(m.n)])
 
     return run
 
@@ -391,9 +374,9 @@ def ask_triples(total: int, shards: int):
     return run
 
 
-def tell_triples(total: int, shards: int, discount: float):
-    """One shard: a trie of the triples that training has, with their discounted probabilities, is asked for all that
-    blocks ask for."""
+def tell_triples(total: int, shards: int):
+    """One shard: a trie of the triples that training has, with their counts as places among the distinct ones, is asked
+    for all that blocks ask for."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -401,12 +384,12 @@ def tell_triples(total: int, shards: int, discount: float):
         first, second = m.contexts >> U(32), m.contexts & U((1 << 32) - 1)
         has = np.flatnonzero(m.n)
         of = m.context[has]
-        codes = quantise(np.log10((m.n[has] - discount) / m.seen[of]))
+        counts, codes = np.unique(m.n[has], return_inverse=True)
         with Mapped([first[of], second[of], m.word[has]], codes) as trie:
             pair = trie.descend(1, trie.descend(0, np.zeros(len(first), np.int64), first), second)
             at = trie.descend(2, pair[m.context], m.word)
-            found = np.where(at >= 0, trie.codes[np.maximum(at, 0)], 0) if len(has) else np.zeros(len(at))
-        return m.tell(rows, 3, found.astype(np.uint16), total, shards, [])
+            found = np.where(at >= 0, counts[trie.codes[np.maximum(at, 0)]], 0) if len(has) else np.zeros(len(at))
+        return m.tell(rows, 3, found.astype(U), total, shards, [once_and_twice(m.n)])
 
     return run
 
@@ -447,9 +430,9 @@ def add_up(total: int, words: int, shards: int, discounts: tuple[float, float],
             p[pairs.asked] = own[pairs.number] + rest[pairs.number] * p[pairs.asked]
             triples = block.triples(pairs, n)
             triples.deal(total, shards)
-            kinds, codes = block.answers(3, np.uint32, np.uint16)
+            kinds, n = block.answers(3, np.uint32, U)
             rest = discounts[1] * followers(triples, 3, kinds) / np.maximum(1, triples.seen)
-            own = 10 ** restore(triples.back(codes))
+            own = np.maximum(0, triples.back(n.astype(np.int64)) - discounts[1]) / np.maximum(1, triples.seen)
             p[triples.asked] = own[triples.number] + rest[triples.number] * p[triples.asked]
             tables.append(pa.Table.from_arrays([pa.array(block.docs, pa.int64()), pa.array(block.held), pa.array(block.lengths), pa.array(known), pa.array(np.full(len(known), total)), pa.array(base), pa.array(add(np.log10(p)))], schema=OUT_ARROW))
         return pa.concat_tables(tables) if tables else OUT_ARROW.empty_table()
@@ -468,15 +451,20 @@ def _hot(sums: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     return contexts, np.bincount(at, np.concatenate([s[1] for s in sums] or [np.zeros(0)]), len(contexts)).astype(np.int64)
 
 
-def score(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, slices: int = SLICES) -> DataFrame:
+def _discount(sums: list[list[np.ndarray]]) -> float:
+    once, twice = sum((s[2] for s in sums), np.zeros(2, np.int64)).tolist()
+    return once / (once + 2 * twice) if twice else DISCOUNT
+
+
+def score(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, slices: int = 1) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score): a row for each row of docs (doc_id, text).
 
     The model is interpolated absolute discounting over the training rows: p(w | u v) = max(0, c(u v w) - d) / c(u v) +
     d k(u v) / c(u v) p(w | v), with k the number of words that follow, likewise p(w | v) from c(v w), and the base
     probability p(w); a context that training has not seen leaves the shorter one's probability. END is the one word before
     a text's first. Each level has one discount d = n1 / (n1 + 2 n2), of the numbers of n-grams that training has once and
-    twice. The triples' first term is stored in the trie as log10 in steps of 0.004. A score depends neither on the number
-    of shards nor on that of blocks. Shards grow in number with the tokens, so each holds as much as before; a text longer
+    twice; all are counted, so `slices`, of which one was counted once, has no effect. Counts are exact, and a score
+    depends neither on the number of shards nor on that of blocks. Shards grow in number with the tokens, so each holds as much as before; a text longer
     than a block is a block of its own. Null and empty texts have the end alone; a row without doc_id is held out; repeated
     rows count each; with no training rows every word is as likely; an empty table gives no rows.
     """
@@ -487,14 +475,13 @@ def score(docs: DataFrame, block: int = BLOCK, shard: int = SHARD, slices: int =
         words_told = cut(ask_words(held, shards).groupBy("shard").applyInArrow(tell_words(shards), TELL))
         total, words = (int(x) for x in sum((s[0] for s in _sums(words_told, np.int64)), np.zeros(2, np.int64)))
         told = words_told.where("block >= 0")
-        pairs_asked = by_block.cogroup(told.groupBy("block")).applyInArrow(ask_pairs(total, shards, slices), ASK)
+        pairs_asked = by_block.cogroup(told.groupBy("block")).applyInArrow(ask_pairs(total, shards), ASK)
         pairs_told = cut(pairs_asked.groupBy("shard").applyInArrow(tell_pairs(total, shards), TELL))
-        sums = _sums(pairs_told, U, np.int64, np.int64, np.int64)
-        seen = [sum((s[k] for s in sums), np.zeros(2, np.int64)).tolist() for k in (2, 3)]
-        discounts = tuple(once / (once + 2 * twice) if twice else DISCOUNT for once, twice in seen)
         told = told.unionByName(pairs_told.where("block >= 0"))
         triples_asked = by_block.cogroup(told.groupBy("block")).applyInArrow(ask_triples(total, shards), ASK)
-        triples_told = cut(triples_asked.groupBy("shard").applyInArrow(tell_triples(total, shards, discounts[1]), TELL))
-        hot = {2: _hot(sums), 3: _hot(_sums(triples_told, U, np.int64))}
+        triples_told = cut(triples_asked.groupBy("shard").applyInArrow(tell_triples(total, shards), TELL))
+        sums = {2: _sums(pairs_told, U, np.int64, np.int64), 3: _sums(triples_told, U, np.int64, np.int64)}
+        hot = {level: _hot(s) for level, s in sums.items()}
+        discounts = _discount(sums[2]), _discount(sums[3])
     told = told.unionByName(triples_told.where("block >= 0"))
     return by_block.cogroup(told.groupBy("block")).applyInArrow(add_up(total, words, shards, discounts, hot), OUT)

@@ -105,6 +105,14 @@ def test_against_brute_force(spark, block, shard):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("block,shard", [(language_model.BLOCK, language_model.SHARD), (700, 900)])
+def test_all_triples_set_the_discount(spark, block, shard):
+    rows = [(d, t) for d, t in corpus() if d is not None and d < 900]
+    want = brute(rows)
+    for r in language_model.score(docs_frame(spark, rows), block, shard).collect():
+        assert r.score == pytest.approx(want[r.doc_id, dict(rows)[r.doc_id]][-1], rel=1e-9)
+
+
 def test_texts_that_occur_twice_score_apart(spark):
     rnd = random.Random(3)
     vocab = [f"v{i}" for i in range(3000)]
