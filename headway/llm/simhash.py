@@ -17,6 +17,16 @@ SEED = 42
 CHUNK = 1 << 15
 
 
+def set_bits(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit set."""
+    return np.unpackbits(hashes.astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
+
+
+def majority(total: np.ndarray, of: int) -> int:
+    """64 bits, each set if it is set in over half of so many hashes."""
+    return sum(1 << i for i, c in enumerate(total.tolist()) if 2 * c > of)
+
+
 def fingerprint(text: str | None, n: int = 4) -> int:
     """64 bits, each set if it is set in over half the hashes of the n-word shingles (repeats count)."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -32,9 +42,8 @@ def fingerprint(text: str | None, n: int = 4) -> int:
     digest, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for k in range(0, len(starts), CHUNK):
         part = [digest(joined[a:b], SEED) for a, b in zip(starts[k : k + CHUNK], ends[k : k + CHUNK])]
-        bits = np.unpackbits(np.array(part, "<u8").view(np.uint8), bitorder="little")
-        total += bits.reshape(-1, 64).sum(0, dtype=np.int64)
-    return sum(1 << i for i, c in enumerate(total.tolist()) if 2 * c > len(starts))
+        total += set_bits(np.array(part, "<u8"))
+    return majority(total, len(starts))
 
 
 def signed(x: int) -> int:

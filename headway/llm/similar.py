@@ -1,7 +1,8 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: min-hash bands propose pairs, whole sets decide.
+"""Near-duplicates by SimHash, held to a Jaccard similarity of word shingles: whole sets decide on what is proposed.
 
-Fingerprints of 64 bits can't propose them: texts of similarity 0.8 differ in ten bits on average and in 16 at times, and
-balls of that size around segments hold more words than there are documents.
+Fingerprints propose first, found by the multi-index hashing of `simhash.links`. They can't propose all that is similar:
+texts of similarity 0.8 differ in ten bits on average and in 16 at times, and balls of that size around segments hold more
+words than there are documents. Min-hash bands propose what fingerprints have left apart.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.llm import simhash
 from headway.llm.common import components, cut, least_of_group, small, text_key
 
 SEED = 42
@@ -50,17 +52,26 @@ def band_codes(hashes: np.ndarray) -> list[int]:
     return np.array([xxhash.xxh64_intdigest(x.tobytes(), k) for k, x in enumerate(least.reshape(BANDS, ROWS))], np.uint64).view(np.int64).tolist()
 
 
+def set_fingerprint(hashes: np.ndarray) -> int:
+    """The SimHash of distinct shingles as a signed long; zero for none."""
+    total = np.zeros(64, np.int64)
+    for k in range(0, len(hashes), simhash.CHUNK):
+        total += simhash.set_bits(hashes[k : k + simhash.CHUNK])
+    return simhash.signed(simhash.majority(total, len(hashes)))
+
+
 def sketches(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, text_id, node, codes): a row for each row; node is a hash of the set of shingles."""
+    """(doc_id, text_id, node, fp, codes): a row for each row; node is a hash of the set of shingles, fp its SimHash."""
 
     def run(batches):
         for b in batches:
             found = [shingles(t, n) for t in b.column(2).to_pylist()]
             nodes = [xxhash.xxh64_intdigest(h.tobytes()) for h in found]
-            columns = [b.column(0).cast(pa.int64()), b.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array([band_codes(h) for h in found], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "node", "codes"])
+            fps, codes = pa.array([set_fingerprint(h) for h in found], pa.int64()), pa.array([band_codes(h) for h in found], pa.list_(pa.int64()))
+            columns = [b.column(0).cast(pa.int64()), b.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), fps, codes]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_id", "node", "fp", "codes"])
 
-    return docs.select("doc_id", text_key(F.col("text")).alias("text_id"), "text").mapInArrow(run, "doc_id long, text_id long, node long, codes array<long>")
+    return docs.select("doc_id", text_key(F.col("text")).alias("text_id"), "text").mapInArrow(run, "doc_id long, text_id long, node long, fp long, codes array<long>")
 
 
 def sets(texts: DataFrame, n: int) -> DataFrame:
@@ -105,16 +116,30 @@ def candidates(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
 
 
-def links(entries: DataFrame, known: DataFrame, percent: int) -> DataFrame | None:
-    """(a, b): similar pairs of nodes that share a code, enough to join all such pairs; None if there are none.
+def by_fingerprint(nodes: DataFrame, radius: int = 4) -> DataFrame:
+    """(a, b): pairs of nodes (node, fp) by SimHash, enough to join all fingerprints that differ in at most `radius` bits.
+
+    A fingerprint's nodes are held against its least one, which stands for it before the others.
+    """
+    firsts = cut(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")))
+    near = simhash.links(firsts.select("fp"), radius, simhash.tables(firsts.count()))
+    a, b = (firsts.select(F.col("fp").alias(side), F.col("first").alias(f"node_{side}")) for side in ("a", "b"))
+    apart = near.join(a, "a").join(b, "b").select("node_a", "node_b")
+    same = nodes.join(small(firsts.where("n > 1").select("fp", "first")), "fp").where("node <> first").select("first", "node")
+    return apart.unionAll(same).toDF("a", "b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def links(entries: DataFrame, known: DataFrame, percent: int, edges: DataFrame) -> DataFrame:
+    """(a, b): edges, and similar pairs of nodes that share a code, enough to join all such pairs.
 
-    entries (node, code) has codes that several nodes share. Each code's nodes are held against its least node, then
-    against one drawn for each code, so a group of near copies costs its members and not their square. What is not joined
-    then, such as copies that differ more from each other than from their source, meets by its rarest shingles.
+    entries (node, code) has codes that several nodes share. What edges have joined is one. Each code's nodes are held
+    against its least node, then against one drawn for each code, so a group of near copies costs its members and not
+    their square. What is not joined then, such as copies that differ more from each other than from their source, meets
+    by its rarest shingles.
     """
-    edges, roots = None, None
+    roots = components(edges)
     for least in (F.col("node"), F.xxhash64("node", "code"), None):
-        now = entries.withColumn("root", F.col("node")) if roots is None else entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        now = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         parted = now.groupBy("code").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("code")
         now = cut(now.join(parted, "code", "left_semi"))
         if now.isEmpty():
@@ -124,8 +149,7 @@ def links(entries: DataFrame, known: DataFrame, percent: int) -> DataFrame | Non
             pairs = now.join(one, "code").where("root <> first_root").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
         else:
             pairs = candidates(now.select("node", "root").distinct(), known, percent)
-        found = cut(similar(pairs, known, percent))
-        edges = found if edges is None else edges.unionAll(found)
+        edges = edges.unionAll(cut(similar(pairs, known, percent)))
         if least is not None:
             roots = components(edges)
     return edges
@@ -135,17 +159,18 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     """(doc_id, component_id): a row for each row of docs (doc_id, text).
 
     component_id is the smallest doc_id that links of texts whose n-word shingles have a Jaccard similarity of at least
-    `percent` reach. Texts without words are alike; a row without doc_id links and can't be a smallest id.
+    `percent` reach, proposed by SimHash fingerprints and, where those leave similar texts apart, by min-hash bands. Texts
+    without words are alike; a row without doc_id links and can't be a smallest id.
     """
     found = cut(sketches(docs, n))
-    nodes = cut(found.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("text_id").alias("text_id"), F.first("codes").alias("codes")))
+    nodes = cut(found.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("text_id").alias("text_id"), F.first("fp").alias("fp"), F.first("codes").alias("codes")))
+    near = cut(by_fingerprint(nodes.select("node", "fp")))
     entries = nodes.select("node", F.explode("codes").alias("code"))
     shared = entries.groupBy("code").count().where("count > 1").select("code")
     entries = cut(entries.join(shared, "code", "left_semi"))
-    asked = small(cut(nodes.join(entries.select("node").distinct(), "node", "left_semi").select("text_id")))
+    met = entries.select("node").unionAll(near.select("a")).unionAll(near.select("b")).distinct()
+    asked = small(cut(nodes.join(met, "node", "left_semi").select("text_id")))
     known = cut(sets(docs.join(asked, text_key(F.col("text")) == F.col("text_id"), "left_semi"), n))
-    edges = links(entries, known, percent)
-    labelled = nodes.select("node", "first_id").withColumn("root", F.col("node"))
-    if edges is not None:
-        labelled = nodes.select("node", "first_id").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    edges = links(entries, known, percent, cut(similar(near, known, percent)))
+    labelled = nodes.select("node", "first_id").join(components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
     return found.select("doc_id", "node").join(cut(least_of_group(labelled)), "node").select("doc_id", "component_id")

@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from headway.llm import similar
+from headway.llm import similar, simhash
 from tests.llm.fixtures import docs_frame, words
 
 
@@ -79,3 +79,24 @@ def test_candidates_of_a_large_group(spark):
     assert all(root[a] != root[b] for a, b in found)
     assert len(found) - len(due) < len(pairs) / 10
     known.unpersist()
+
+
+def test_fingerprints_join_before_bands_do(spark, monkeypatch):
+    """SimHash alone joins the similar texts within four bits; bands are left the others."""
+    rnd = random.Random(2)
+    rows = []
+    for i in range(40):
+        w = [f"w{rnd.randrange(2000)}" for _ in range(200)]
+        rows.append((i, " ".join(w)))
+        for at in rnd.sample(range(200), i % 5):
+            w[at] = "other"
+        rows.append((i + 100, " ".join([*w, "end"])))
+    fps = {d: similar.set_fingerprint(similar.shingles(t)) for d, t in rows}
+    assert fps[3] == simhash.signed(simhash.fingerprint(rows[6][1], 5))
+    near = {i + 100 for i in range(40) if bin((fps[i] ^ fps[i + 100]) & (1 << 64) - 1).count("1") <= 4}
+    similar_ones = {d for d, c in brute(rows) if c < d}
+    asked = []
+    monkeypatch.setattr(similar, "links", lambda entries, known, percent, edges: asked.append(entries) or edges)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs_frame(spark, rows), "").collect()}
+    assert asked and 10 < len(near & similar_ones) < len(similar_ones)
+    assert {d for d, _ in rows} - kept == near & similar_ones
