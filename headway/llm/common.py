@@ -98,25 +98,30 @@ def least_of_group(labelled: DataFrame, crowd: int = 1024) -> DataFrame:
     return found.unionAll(rest.select("node", F.when(F.col("n").isNull(), F.col("first_id")).otherwise(F.col("component_id")).alias("component_id")))
 
 
-def components(edges: DataFrame, limit: int = 60) -> DataFrame:
+def components(edges: DataFrame, limit: int = 60, few: int = 100_000, rows: int = 20_000) -> DataFrame:
     """(node, root): the smallest node reachable over edges (a, b) of longs, for each node that has an edge.
 
     Alternates large-star and small-star contractions, each a partially aggregated minimum and a join; edges never
-    outnumber what came in, and a hub's edges are dealt by the other end after the first round.
+    outnumber what came in, and a hub's edges are dealt by the other end after the first round. It ends when each edge
+    leads from a node with no other to a root, so edges that come as such stars cost no round. The driver keeps account
+    of each task: a task reads so many `rows` of the edges at least, if that leaves one for each core, and up to `few`
+    nodes the minima are broadcast, which shuffles no edges.
     """
-    e = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
+    e, cores = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()), edges.sparkSession.sparkContext.defaultParallelism
     for _ in range(limit):
-        both = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))
+        by_node = e.select(F.explode(ends).alias("x")).groupBy("x.node").agg(F.sum("x.up").alias("ups"), F.count(F.lit(1)).alias("n"))
+        nodes, n, moving = by_node.agg(F.count(F.lit(1)), F.sum("ups"), F.count_if((F.col("ups") > 0) & (F.col("n") > 1))).first()
+        e = e.coalesce(max(cores, (n or 0) // rows + 1))
+        if not moving:
+            roots = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            return roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
+        whole = nodes <= few
+        both = e.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("x")).select("x.a", "x.b")
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = both.join(F.broadcast(low) if whole else low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        large = large if whole else large.distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        star = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        star = large.join(F.broadcast(low) if whole else low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = cut(star.unionAll(low.select("a", F.col("m").alias("b"))).where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if now == seen:
-            roots = e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-            return roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
-        seen = now
     raise RuntimeError(f"components did not settle in {limit} rounds")

@@ -130,14 +130,15 @@ def by_fingerprint(nodes: DataFrame, radius: int = 4) -> DataFrame:
 
 
 def links(entries: DataFrame, known: DataFrame, percent: int, edges: DataFrame) -> DataFrame:
-    """(a, b): edges, and similar pairs of nodes that share a code, enough to join all such pairs.
+    """(a, b): enough to join what edges join, and all similar pairs of nodes that share a code.
 
     entries (node, code) has codes that several nodes share. What edges have joined is one. Each code's nodes are held
     against its least node, then against one drawn for each code, so a group of near copies costs its members and not
     their square. What is not joined then, such as copies that differ more from each other than from their source, meets
-    by its rarest shingles.
+    by its rarest shingles. What is joined goes on as edges to its root, so each turn contracts only what it has found.
     """
     roots = components(edges)
+    edges = roots.toDF("a", "b")
     for least in (F.col("node"), F.xxhash64("node", "code"), None):
         now = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         parted = now.groupBy("code").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("code")
@@ -149,9 +150,13 @@ def links(entries: DataFrame, known: DataFrame, percent: int, edges: DataFrame)
             pairs = now.join(one, "code").where("root <> first_root").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
         else:
             pairs = candidates(now.select("node", "root").distinct(), known, percent)
-        edges = edges.unionAll(cut(similar(pairs, known, percent)))
+        found = cut(similar(pairs, known, percent))
+        if found.isEmpty():
+            continue
+        edges = edges.unionAll(found)
         if least is not None:
             roots = components(edges)
+            edges = roots.toDF("a", "b")
     return edges
 
 

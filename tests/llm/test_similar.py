@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from headway.llm import similar, simhash
+from headway.llm import common, similar, simhash
 from tests.llm.fixtures import docs_frame, words
 
 
@@ -100,3 +100,39 @@ def test_fingerprints_join_before_bands_do(spark, monkeypatch):
     kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs_frame(spark, rows), "").collect()}
     assert asked and 10 < len(near & similar_ones) < len(similar_ones)
     assert {d for d, _ in rows} - kept == near & similar_ones
+
+
+def test_tasks_of_components(spark):
+    """The driver keeps account of each task: stars cost no round, and a few edges no task for each partition."""
+    rnd, sc = random.Random(3), spark.sparkContext
+    tree = [(i, rnd.randrange(max(0, i - 9), i)) for i in range(1, 300)]
+    stars = [(i, i % 7) for i in range(7, 300)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for name, rows, most in (("stars", stars, 400), ("tree", tree, 3000)):
+            sc.setJobGroup(name, name)
+            found = {r.node: r.root for r in common.components(spark.createDataFrame(rows, "a long, b long")).collect()}
+            assert found == ({i: i % 7 for i in range(300)} if name == "stars" else dict.fromkeys(range(300), 0))
+            stages = {s for j in sc.statusTracker().getJobIdsForGroup(name) for s in sc.statusTracker().getJobInfo(j).stageIds}
+            tasks = sum(x.numCompletedTasks for s in stages if (x := sc.statusTracker().getStageInfo(s)))
+            assert tasks <= most
+    finally:
+        sc._jsc.clearJobGroup()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_components_of_any_size(spark):
+    """Broadcast or shuffled minima, coalesced or not, find the same."""
+    rnd = random.Random(4)
+    rows = [(rnd.randrange(-200, 200), rnd.randrange(-200, 200)) for _ in range(150)] + [(i, -500) for i in range(900, 990)]
+    edges = spark.createDataFrame(rows, "a long, b long")
+    one, other = ({(r.node, r.root) for r in common.components(edges, few=few, rows=per).collect()} for few, per in ((10**5, 20_000), (0, 1)))
+    root = {x: x for p in rows for x in p if p[0] != p[1]}
+    for _ in root:
+        for a, b in rows:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    assert one == other == set(root.items())
