@@ -77,6 +77,32 @@ def masks(width: int, radius: int, shift: int = 0) -> list[int]:
     return [signed(sum(1 << (i + shift) for i in c)) for r in range(radius + 1) for c in combinations(range(width), r)]
 
 
+def lookups(fps: DataFrame, segs: list[tuple[int, int, int]], balls: bool) -> DataFrame:
+    """fps with (k, code): the entry of each fingerprint in each segment's table, or all words of the ball around it."""
+    found = []
+    for k, (shift, width, ball) in enumerate(segs):
+        code = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
+        flips = F.array(*[F.lit(m) for m in (masks(width, ball) if balls else [0])])
+        found.append(F.transform(flips, lambda m: F.struct(F.lit(k).alias("k"), code.bitwiseXOR(m).alias("code"))))
+    return fps.select(*fps.columns, F.explode(F.concat(*found)).alias("x")).select(*fps.columns, "x.*")
+
+
+def through_words(probes: DataFrame, crowded: DataFrame, radius: int) -> DataFrame:
+    """(a, b): links of all that look up crowded entries (k, code), each to the least of a word within half the radius."""
+    if radius % 2:
+        raise ValueError("an even radius is needed")
+    hot = cut(probes.join(crowded, ["k", "code"], "left_semi").select("fp").distinct())
+    half = F.array(*[F.lit(m) for m in masks(64, radius // 2)])
+    words = hot.select("fp", F.explode(F.transform(half, lambda m: F.col("fp").bitwiseXOR(m))).alias("mid"))
+    least = words.groupBy("mid").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("mid", "a")
+    return words.join(least, "mid").where("a <> fp").select("a", F.col("fp").alias("b")).distinct()
+
+
+def within(radius: int) -> Column:
+    """That a and b are two fingerprints that differ in at most `radius` bits."""
+    return (F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
+
+
 def links(fps: DataFrame, radius: int = 4, count: int = 3, crowd: int = 1024) -> DataFrame:
     """(a, b): pairs of distinct fingerprints of column fp, enough to join all that differ in at most `radius` bits.
 
@@ -87,37 +113,40 @@ def links(fps: DataFrame, radius: int = 4, count: int = 3, crowd: int = 1024) ->
     the least. This is linear in the members and loses no link's connection.
     """
     segs = segments(radius, count)
-
-    def rows(balls: bool) -> Column:
-        found = []
-        for k, (shift, width, ball) in enumerate(segs):
-            code = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
-            flips = F.array(*[F.lit(m) for m in (masks(width, ball) if balls else [0])])
-            found.append(F.transform(flips, lambda m: F.struct(F.lit(k).alias("k"), code.bitwiseXOR(m).alias("code"))))
-        return F.explode(F.concat(*found)).alias("x")
-
-    entries = fps.select("fp", rows(False)).select("fp", "x.*")
-    probes = fps.select("fp", rows(True)).select("fp", "x.*")
+    entries, probes = lookups(fps.select("fp"), segs, False), lookups(fps.select("fp"), segs, True)
     crowded = cut(entries.groupBy("k", "code").count().where(F.col("count") > crowd).select("k", "code"))
-    if crowded.isEmpty():
-        found = probes
-        near = None
-    else:
-        found = probes.join(crowded, ["k", "code"], "left_anti")
-        hot = cut(probes.join(crowded, ["k", "code"], "left_semi").select("fp").distinct())
-        half = F.array(*[F.lit(m) for m in masks(64, radius // 2)])
-        if radius % 2:
-            raise ValueError("an even radius is needed")
-        words = hot.select("fp", F.explode(F.transform(half, lambda m: F.col("fp").bitwiseXOR(m))).alias("mid"))
-        least = words.groupBy("mid").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("mid", "a")
-        near = words.join(least, "mid").where("a <> fp").select("a", F.col("fp").alias("b")).distinct()
+    none = crowded.isEmpty()
+    found = probes if none else probes.join(crowded, ["k", "code"], "left_anti")
     near_pairs = (
         found.withColumnRenamed("fp", "a")
         .join(entries.withColumnRenamed("fp", "b"), ["k", "code"])
-        .where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius))
+        .where(within(radius))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
-    return (near_pairs if near is None else near_pairs.unionAll(near)).distinct()
+    return (near_pairs if none else near_pairs.unionAll(through_words(probes, crowded, radius))).distinct()
+
+
+def forest(fps: DataFrame, radius: int = 4, count: int = 3, crowd: int = 1024) -> DataFrame:
+    """(a, b): edges that join what `links` joins, about as many as fingerprints and not as pairs of near copies.
+
+    What looks an entry up is held against two of its members only, the least and one drawn for each entry, which joins
+    most near copies. Then it is held against all members of entries of several that have another root, so no link is
+    lost; two roots that meet are one edge. Crowded entries go by words, as in `links`.
+    """
+    segs = segments(radius, count)
+    entries, probes = lookups(fps.select("fp"), segs, False), lookups(fps.select("fp"), segs, True)
+    drawn = F.min_by("fp", F.xxhash64("fp", "k", "code"))
+    groups = cut(entries.groupBy("k", "code").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("first"), drawn.alias("drawn")))
+    crowded = groups.where(F.col("n") > crowd).select("k", "code")
+    few = groups.where(F.col("n") <= crowd).select("k", "code", F.explode(F.array_distinct(F.array("first", "drawn"))).alias("b"))
+    edges = probes.withColumnRenamed("fp", "a").join(few, ["k", "code"]).where(within(radius)).select("a", "b")
+    roots = cut(components(edges if crowded.isEmpty() else edges.unionAll(through_words(probes, crowded, radius))))
+    rooted = cut(fps.select("fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    several = groups.where((F.col("n") > 1) & (F.col("n") <= crowd)).select("k", "code")
+    members = small(cut(lookups(rooted, segs, False).join(several, ["k", "code"], "left_semi").toDF("k", "code", "b", "root_b")))
+    left = lookups(rooted, segs, True).withColumnRenamed("fp", "a").join(members, ["k", "code"]).where(within(radius) & (F.col("root") != F.col("root_b")))
+    met = left.select(F.least("root", "root_b").alias("a"), F.greatest("root", "root_b").alias("b")).distinct()
+    return roots.toDF("a", "b").unionAll(met)
 
 
 def tables(fingerprints: int) -> int:
@@ -136,7 +165,7 @@ def near_duplicates(docs: DataFrame, n: int = 4, radius: int = 4, count: int | N
     """
     fps = cut(fingerprints(docs, n))
     nodes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links(nodes.select("fp"), radius, count or tables(nodes.count()), crowd))
+    roots = components(forest(nodes.select("fp"), radius, count or tables(nodes.count()), crowd))
     labelled = nodes.withColumnRenamed("fp", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     members = cut(least_of_group(labelled, crowd).withColumnRenamed("node", "fp"))
     return fps.join(members, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

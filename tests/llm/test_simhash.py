@@ -98,3 +98,27 @@ def test_any_number_of_segments_and_large_groups_agree(spark):
     nodes = spark.createDataFrame([(k, k % 3 if k % 3 else k, 100 - k) for k in range(60)], "node long, root long, first_id long")
     small, large = ({(r.node, r.component_id) for r in common.least_of_group(nodes, c).collect()} for c in (1000, 5))
     assert small == large and len(small) == 60 and (58, 100 - 58) in small and (55, 42) in small and (6, 94) in small
+
+
+def test_edges_of_near_copies_grow_with_their_number(spark, monkeypatch):
+    """A ball of near copies is contracted from edges in proportion to its members, not to their pairs, and none is lost."""
+    rnd = random.Random(11)
+    base, read = rnd.getrandbits(64), []
+    ball = sorted({base ^ sum(1 << k for k in rnd.sample(range(64), rnd.randint(0, 5))) for _ in range(3000)})
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, n: docs.select("doc_id", docs.text.cast("long").alias("fp")))
+    monkeypatch.setattr(simhash, "components", lambda edges: read.append(edges.count()) or common.components(edges))
+    rows = [(i, str(simhash.signed(x))) for i, x in enumerate(ball)]
+    out = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs_frame(spark, rows)).collect()}
+    root = list(range(len(ball)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    pairs = [(i, j) for i, x in enumerate(ball) for j in range(i) if (x ^ ball[j]).bit_count() <= 4]
+    for i, j in pairs:
+        a, b = sorted((find(i), find(j)))
+        root[b] = a
+    assert out == {i: find(i) for i in range(len(ball))}
+    assert max(read) < 20 * len(ball) < len(pairs) / 4, (len(ball), len(pairs), read)
