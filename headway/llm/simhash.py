@@ -141,7 +141,7 @@ def forest(fps: DataFrame, radius: int = 4, count: int = 3, crowd: int = 1024) -
     few = groups.where(F.col("n") <= crowd).select("k", "code", F.explode(F.array_distinct(F.array("first", "drawn"))).alias("b"))
     edges = probes.withColumnRenamed("fp", "a").join(few, ["k", "code"]).where(within(radius)).select("a", "b")
     roots = cut(components(edges if crowded.isEmpty() else edges.unionAll(through_words(probes, crowded, radius))))
-    rooted = cut(fps.select("fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    rooted = cut(fps.select("fp").join(small(roots.withColumnRenamed("node", "fp")), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     several = groups.where((F.col("n") > 1) & (F.col("n") <= crowd)).select("k", "code")
     members = small(cut(lookups(rooted, segs, False).join(several, ["k", "code"], "left_semi").toDF("k", "code", "b", "root_b")))
     left = lookups(rooted, segs, True).withColumnRenamed("fp", "a").join(members, ["k", "code"]).where(within(radius) & (F.col("root") != F.col("root_b")))
